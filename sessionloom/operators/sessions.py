@@ -48,14 +48,11 @@ def session_hours(actions: DataFrame) -> DataFrame:
     """One row per part of a session inside one hour: ``session_id, day, hour, n, first, last``.
 
     Everything per hour, and the sampling, starts here.  Grouping is by date and integer;
-    the day becomes text only afterwards.  The not-null filter never drops a row (a missing
-    time fails before); it keeps later joins on the hour from adding it to one branch of a
-    query only, so that branches over this frame share one shuffle.
+    the day becomes text only afterwards.
     """
     return (
         actions.select("session_id", required_time("action_time").alias("ts"))
         .select("session_id", F.to_date("ts").alias("date"), F.hour("ts").alias("hour"), "ts")
-        .where(F.col("date").isNotNull() & F.col("hour").isNotNull())
         .groupBy("session_id", "date", "hour")
         .agg(
             F.count(F.lit(1)).alias("n"), F.min("ts").alias("first"), F.max("ts").alias("last")
@@ -213,16 +210,17 @@ def session_ratios(actions: DataFrame) -> DataFrame:
         )
         .select(_length_ms("first", "last").alias("length_ms"), "steps")
     )
-    length, steps = F.col("length_ms"), F.col("steps")
-
-    def ratio(inside: Column, name: str) -> Column:
-        return round_half_up(F.avg(F.when(inside, 1.0).otherwise(0.0))).alias(name)
-
-    ratios = []
+    buckets = {}
     for name, low, high in VISIT_LENGTH_BUCKETS:
-        inside = length >= low if high is None else (length >= low) & (length < high)
-        ratios.append(ratio(inside, f"visit_length_{name}_ratio"))
+        upper = "" if high is None else f" AND length_ms < {high}"
+        buckets[f"visit_length_{name}_ratio"] = f"length_ms >= {low}{upper}"
     for name, low, high in STEP_LENGTH_BUCKETS:
-        inside = steps >= low if high is None else steps.between(low, high)
-        ratios.append(ratio(inside, f"step_length_{name}_ratio"))
-    return sessions.agg(F.count(F.lit(1)).alias("session_count"), *ratios)
+        upper = "" if high is None else f" AND steps <= {high}"
+        buckets[f"step_length_{name}_ratio"] = f"steps >= {low}{upper}"
+    shares = F.array(*[F.expr(f"avg(int({inside}))") for inside in buckets.values()])
+    return sessions.agg(
+        F.count(F.lit(1)).alias("session_count"),
+        F.transform(shares, lambda share: round_half_up(share)).alias("shares"),
+    ).select(
+        "session_count", *[F.col("shares")[i].alias(name) for i, name in enumerate(buckets)]
+    )

@@ -5,11 +5,26 @@ One SQL text per table runs unchanged in Spark and in DuckDB; none holds operato
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-SOURCES = ("events", "customer", "nation", "region", "part")
+# Stated, so that opening a table takes no job to look at its files.
+SOURCES = {
+    "events": (
+        "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
+        "props STRING"
+    ),
+    "customer": (
+        "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
+    ),
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+    "part": (
+        "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+        "p_retailprice DOUBLE"
+    ),
+}
 
 VIEWS = {
     # click stays, signup stands for order, purchase for pay, error for search
@@ -81,8 +96,9 @@ AREA_LEVELS = {
 }
 
 
-@dataclass(frozen=True)
 class Tables:
+    """The views as attributes, each opened when first used."""
+
     user_visit_action: DataFrame
     user_info: DataFrame
     product_info: DataFrame
@@ -90,17 +106,25 @@ class Tables:
     tb_task: DataFrame
     ad_message: DataFrame
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = spark, sf_dir
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in VIEWS:
+            raise AttributeError(name)
+        text = VIEWS[name]
+        for source, schema in SOURCES.items():
+            if re.search(rf"\b{source}\b", text):
+                reader = self._spark.read.schema(schema)
+                reader.parquet(f"{self._sf_dir}/{source}.parquet").createOrReplaceTempView(source)
+        frame = self._spark.sql(text.replace("EPOCH_MS", SPARK_EPOCH_MS))
+        setattr(self, name, frame)
+        return frame
+
 
 def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    for name in SOURCES:
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
-    return Tables(
-        **{
-            name: spark.sql(text.replace("EPOCH_MS", SPARK_EPOCH_MS))
-            for name, text in VIEWS.items()
-        }
-    )
+    return Tables(spark, sf_dir)
 
 
 def with_views(select: str, *names: str) -> str:
