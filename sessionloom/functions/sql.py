@@ -15,7 +15,7 @@ SQL_FUNCTIONS = (
     r"""
     isNotEmpty(str STRING) RETURNS BOOLEAN
     RETURN str IS NOT NULL
-      AND lower(regexp_replace(str, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '')) NOT IN ('', 'null')
+      AND str RLIKE '(?is)\\A(?![\\x00-\\x20]*(?:null)?[\\x00-\\x20]*\\z).'
     """,
     """
     concat_id_name(id INT, name STRING) RETURNS STRING

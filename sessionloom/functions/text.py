@@ -11,6 +11,7 @@ _NOT_BLANK = r"[^\x00-\x20]"
 _REAL_ID = r"(?is)\A(?![\x00-\x20]*(?:null)?[\x00-\x20]*\z)."
 
 ID_SEPARATOR = "|"
+ID_PATTERN = r"\|"
 
 
 def _col(value: Column | str) -> Column:
@@ -34,7 +35,7 @@ def is_real_id(value: Column | str) -> Column:
 
 def split_ids(value: Column | str) -> Column:
     """``1|2||3`` as an array of its non-blank ids, repeats kept."""
-    return F.filter(F.split(_col(value), r"\|"), is_not_blank)
+    return F.filter(F.split(_col(value), ID_PATTERN), is_not_blank)
 
 
 def concat_id_name(id_: Column | str, name: Column | str) -> Column:

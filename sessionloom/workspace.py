@@ -16,7 +16,7 @@ _local_folder: str | None = None
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder; a fresh temporary one where none is named and Spark
     runs on this machine alone."""
-    named = spark.conf.get(_CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(_CHECKPOINT_DIR)
+    named = spark.conf.get(_CHECKPOINT_DIR, None)
     if named:
         return f"{named.rstrip('/')}/sessionloom"
     if not spark.sparkContext.master.startswith("local"):
