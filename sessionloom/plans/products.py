@@ -11,6 +11,7 @@ from sessionloom.operators import filters, products
 from sessionloom.sinks import jdbc
 from sessionloom.sources.jdbc import load_task_params, read_city_info
 from sessionloom.sources.tables import read_table
+from sessionloom.workspace import materialize
 
 
 def area_top10_products(
@@ -43,4 +44,5 @@ def run_product_job(
         read_table(spark, "product_info"),
         params,
     )
-    jdbc.append_area_products(result, task_id, url, properties)
+    # Written out first: the few connections of the sink would narrow the product scan.
+    jdbc.append_area_products(materialize(result, "area-products"), task_id, url, properties)

@@ -56,6 +56,7 @@ def run_session_job(
     at ``url`` and writes the detail records under ``output``.  What several outputs share
     is written to the shared folder once: the actions when a user filter needs a join, and
     the small results (sample, rankings), whose real size then decides how they are joined.
+    So are the documents, as the few connections of the sink would narrow their last stage.
     """
     params = load_task_params(spark, url, task_id, properties)
     actions = filters.filter_actions(
@@ -74,9 +75,8 @@ def run_session_job(
         sampling.sampled_records(actions, sample), f"{output}/session_sample/task_{task_id}"
     )
     top_sample = materialize(sampling.top_sampled_sessions(sample), "top-sample")
-    jdbc.append_sample_sessions(
-        sampling.session_hour_documents(actions, top_sample), task_id, url, properties
-    )
+    documents = materialize(sampling.session_hour_documents(actions, top_sample), "documents")
+    jdbc.append_sample_sessions(documents, task_id, url, properties)
 
     top_categories = materialize(
         categories.top_categories(categories.category_op_counts(actions)), "top-categories"
