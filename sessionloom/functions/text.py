@@ -60,10 +60,14 @@ def _fields(value: Column | str, separator: str) -> Column:
 
 
 def get_field(value: Column | str, name: str, separator: str = ID_SEPARATOR) -> Column:
-    """Value of the first ``name=value`` field; null where there is none or it is empty."""
-    pairs = F.transform(_fields(value, separator), lambda field: _fields(field, "="))
-    found = F.filter(pairs, lambda pair: (F.size(pair) == 2) & (pair[0] == name))
-    return F.get(F.get(found, F.lit(0)), F.lit(1))
+    """Value of the first ``name=value`` field; null where there is none or it is empty.
+
+    A field with a second value (``name=a=b``) does not count, one with further equal signs
+    at its end does.
+    """
+    end = rf"(?=\Q{separator}\E|\z)"
+    field = rf"(?:\A|\Q{separator}\E)\Q{name}\E=((?:(?!\Q{separator}\E)[^=])+)=*{end}"
+    return F.nullif(F.regexp_extract(_col(value), field, 1), F.lit(""))
 
 
 def set_field(

@@ -11,7 +11,7 @@ from sessionloom.operators import filters, products
 from sessionloom.sinks import jdbc
 from sessionloom.sources.jdbc import load_task_params, read_city_info
 from sessionloom.sources.tables import read_table
-from sessionloom.workspace import materialize
+from sessionloom.workspace import temporary_tables
 
 
 def area_top10_products(
@@ -35,14 +35,19 @@ def run_product_job(
     url: str,
     properties: Mapping[str, str] | None = None,
 ) -> None:
-    """The whole job for one task of the task table; cities come from the same database."""
+    """The whole job for one task of the task table; cities come from the same database.
+
+    The cities are written out first, as the size of a JDBC table is unknown and a known
+    small one is broadcast; so is the result, as the few connections of the sink would
+    narrow the product scan before it.
+    """
     params = load_task_params(spark, url, task_id, properties)
-    result = area_top10_products(
-        read_table(spark, "user_visit_action"),
-        read_table(spark, "user_info"),
-        read_city_info(spark, url, properties),
-        read_table(spark, "product_info"),
-        params,
-    )
-    # Written out first: the few connections of the sink would narrow the product scan.
-    jdbc.append_area_products(materialize(result, "area-products"), task_id, url, properties)
+    with temporary_tables(spark) as materialize:
+        result = area_top10_products(
+            read_table(spark, "user_visit_action"),
+            read_table(spark, "user_info"),
+            materialize(read_city_info(spark, url, properties), "cities"),
+            read_table(spark, "product_info"),
+            params,
+        )
+        jdbc.append_area_products(materialize(result, "area-products"), task_id, url, properties)

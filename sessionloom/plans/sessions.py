@@ -11,7 +11,7 @@ from sessionloom.operators import categories, filters, sampling, sessions
 from sessionloom.sinks import files, jdbc
 from sessionloom.sources.jdbc import load_task_params
 from sessionloom.sources.tables import read_table
-from sessionloom.workspace import materialize
+from sessionloom.workspace import temporary_tables
 
 
 def analyze_sessions(
@@ -62,37 +62,34 @@ def run_session_job(
     actions = filters.filter_actions(
         read_table(spark, "user_visit_action"), read_table(spark, "user_info"), params
     )
-    if filters.user_conditions(params):
-        actions = materialize(actions, "actions")
+    with temporary_tables(spark) as materialize:
+        if filters.user_conditions(params):
+            actions = materialize(actions, "actions")
 
-    jdbc.append_statistics(sessions.session_statistics(actions), task_id, url, properties)
+        jdbc.append_statistics(sessions.session_statistics(actions), task_id, url, properties)
 
-    sample = materialize(
-        sampling.sample_sessions(actions, P.sample_ratio(params), P.sample_type(params), seed),
-        "sample",
-    )
-    files.write_sample_records(
-        sampling.sampled_records(actions, sample), f"{output}/session_sample/task_{task_id}"
-    )
-    top_sample = materialize(sampling.top_sampled_sessions(sample), "top-sample")
-    documents = materialize(sampling.session_hour_documents(actions, top_sample), "documents")
-    jdbc.append_sample_sessions(documents, task_id, url, properties)
+        ratio, kind = P.sample_ratio(params), P.sample_type(params)
+        sample = materialize(sampling.sample_sessions(actions, ratio, kind, seed), "sample")
+        files.write_sample_records(
+            sampling.sampled_records(actions, sample), f"{output}/session_sample/task_{task_id}"
+        )
+        top_sample = materialize(sampling.top_sampled_sessions(sample), "top-sample")
+        documents = materialize(
+            sampling.session_hour_documents(actions, top_sample), "documents"
+        )
+        jdbc.append_sample_sessions(documents, task_id, url, properties)
 
-    top_categories = materialize(
-        categories.top_categories(categories.category_op_counts(actions)), "top-categories"
-    )
-    jdbc.append_top_categories(top_categories, task_id, url, properties)
+        counts = categories.category_op_counts(actions)
+        top_categories = materialize(categories.top_categories(counts), "top-categories")
+        jdbc.append_top_categories(top_categories, task_id, url, properties)
 
-    top_sessions = materialize(
-        categories.category_top_sessions(
-            categories.category_session_counts(actions, top_categories)
-        ),
-        "top-sessions",
-    )
-    jdbc.append_category_sessions(
-        categories.merge_category_sessions(top_sessions), task_id, url, properties
-    )
-    files.write_session_records(
-        categories.top_session_records(actions, top_sessions),
-        f"{output}/top10_category_session/task_{task_id}",
-    )
+        session_counts = categories.category_session_counts(actions, top_categories)
+        top_sessions = materialize(
+            categories.category_top_sessions(session_counts), "top-sessions"
+        )
+        merged = categories.merge_category_sessions(top_sessions)
+        jdbc.append_category_sessions(merged, task_id, url, properties)
+        files.write_session_records(
+            categories.top_session_records(actions, top_sessions),
+            f"{output}/top10_category_session/task_{task_id}",
+        )

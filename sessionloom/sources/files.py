@@ -20,15 +20,20 @@ PRODUCT_SEPARATOR = "^"
 
 
 def parse_lines(lines: DataFrame, schema: StructType, separator: str) -> DataFrame:
-    """``value`` lines to typed columns; a number that is none fails the query (ANSI mode)."""
+    """``value`` lines to typed columns; a number that is none fails the query (ANSI mode).
+
+    The fields pass through an explode of none or one item, so that the test of their number
+    is not pushed below the split, which would then run twice (a third slower, measured).
+    """
+    fields = F.col("fields")
     parts = F.split(F.rtrim("value", F.lit(separator)), re.escape(separator))
     return (
-        lines.select(parts.alias("parts"))
-        .where(F.size("parts") == len(schema))
+        lines.select(parts.alias("fields"))
+        .select(F.explode(F.when(F.size(fields) == len(schema), F.array(fields))).alias("fields"))
         .select(
             *[
-                F.col("parts")[i].cast(field.dataType).alias(field.name)
-                for i, field in enumerate(schema)
+                fields[i].cast(column.dataType).alias(column.name)
+                for i, column in enumerate(schema)
             ]
         )
     )

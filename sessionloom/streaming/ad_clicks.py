@@ -26,19 +26,23 @@ def read_ad_click_topic(spark: SparkSession, brokers: str, topic: str, **options
 
 def parse_ad_clicks(messages: DataFrame) -> DataFrame:
     """``ts, province, city, user_id, ad_id``; one malformed message must not stop a feed,
-    so messages of another shape or with broken numbers are left out."""
-    parts = F.split("value", " ")
-    whole = [parts[0], parts[3], parts[4]]
-    millis, user_id, ad_id = [part.try_cast("bigint") for part in whole]
+    so messages of another shape or with broken numbers are left out.
+
+    The fields come out of an explode, which keeps the later null checks from being pushed
+    below the split and splitting each message again for each of them.
+    """
+    parts = F.col("parts")
+    click = F.struct(
+        F.timestamp_millis(parts[0].try_cast("bigint")).alias("ts"),
+        parts[1].alias("province"),
+        parts[2].alias("city"),
+        parts[3].try_cast("bigint").alias("user_id"),
+        parts[4].try_cast("bigint").alias("ad_id"),
+    )
     return (
-        messages.where(F.size(parts) == 5)
-        .select(
-            F.timestamp_millis(millis).alias("ts"),
-            parts[1].alias("province"),
-            parts[2].alias("city"),
-            user_id.alias("user_id"),
-            ad_id.alias("ad_id"),
-        )
+        messages.select(F.split("value", " ").alias("parts"))
+        .select(F.explode(F.when(F.size(parts) == 5, F.array(click))).alias("click"))
+        .select("click.*")
         .dropna(subset=["ts", "user_id", "ad_id"])
     )
 

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,12 +34,32 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _write_and_read(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write the frame once and read it back.
 
     Cuts the lineage, survives lost executors, and gives the optimizer the real size, so a
     join with a small result is broadcast and one with a large result is not.
     """
-    path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _write_and_read(df, fresh_path(df.sparkSession, label))
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Yields a ``materialize`` whose tables are emptied at the end, also after a failure."""
+    tables = {}
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        path = fresh_path(spark, label)
+        tables[path] = df.schema
+        return _write_and_read(df, path)
+
+    try:
+        yield keep
+    finally:
+        for path, schema in tables.items():
+            spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)

@@ -10,7 +10,7 @@ from sessionloom.sinks import jdbc as jdbc_sinks
 from sessionloom.sources import files as file_sources
 from sessionloom.sources import jdbc as jdbc_sources
 from sessionloom.sources import tables
-from sessionloom.workspace import fresh_path, materialize, shared_folder
+from sessionloom.workspace import fresh_path, materialize, shared_folder, temporary_tables
 
 
 @pytest.fixture
@@ -131,6 +131,15 @@ def test_workspace(spark, tmp_path):
     assert empty.columns == ["a", "b"] and empty.count() == 0
 
 
+def test_temporary_tables_are_emptied(spark):
+    with pytest.raises(RuntimeError), temporary_tables(spark) as keep:
+        kept = keep(spark.range(5).toDF("id"), "five")
+        assert kept.count() == 5
+        path = kept.inputFiles()[0].rsplit("/", 1)[0]
+        raise RuntimeError
+    assert spark.read.schema("id bigint").parquet(path).count() == 0
+
+
 def test_shared_folder():
     def session(master, **settings):
         conf = SimpleNamespace(get=lambda key, default: settings.get(key, default))
