@@ -10,7 +10,7 @@ from sessionloom.functions.labels import AREA_LEVELS
 from sessionloom.operators import filters, products
 from sessionloom.sinks import jdbc
 from sessionloom.sources.jdbc import load_task_params, read_city_info
-from sessionloom.sources.tables import read_table
+from sessionloom.sources.tables import PRODUCT_TABLE, read_action_tables, read_table
 from sessionloom.workspace import temporary_tables
 
 
@@ -44,10 +44,9 @@ def run_product_job(
     params = load_task_params(spark, url, task_id, properties)
     with temporary_tables(spark) as materialize:
         result = area_top10_products(
-            read_table(spark, "user_visit_action"),
-            read_table(spark, "user_info"),
+            *read_action_tables(spark, params),
             materialize(read_city_info(spark, url, properties), "cities"),
-            read_table(spark, "product_info"),
+            read_table(spark, PRODUCT_TABLE),
             params,
         )
         jdbc.append_area_products(materialize(result, "area-products"), task_id, url, properties)

@@ -10,7 +10,7 @@ from sessionloom import params as P
 from sessionloom.operators import categories, filters, sampling, sessions
 from sessionloom.sinks import files, jdbc
 from sessionloom.sources.jdbc import load_task_params
-from sessionloom.sources.tables import read_table
+from sessionloom.sources.tables import read_action_tables
 from sessionloom.workspace import temporary_tables
 
 
@@ -52,16 +52,14 @@ def run_session_job(
 ) -> None:
     """The whole job for one task of the task table.
 
-    Reads the tables ``user_visit_action`` and ``user_info``, appends to the result tables
+    Reads the tables ``user_visit_action`` and, where needed, ``user_info``; appends to the result tables
     at ``url`` and writes the detail records under ``output``.  What several outputs share
     is written to the shared folder once: the actions when a user filter needs a join, and
     the small results (sample, rankings), whose real size then decides how they are joined.
     So are the documents, as the few connections of the sink would narrow their last stage.
     """
     params = load_task_params(spark, url, task_id, properties)
-    actions = filters.filter_actions(
-        read_table(spark, "user_visit_action"), read_table(spark, "user_info"), params
-    )
+    actions = filters.filter_actions(*read_action_tables(spark, params), params)
     with temporary_tables(spark) as materialize:
         if filters.user_conditions(params):
             actions = materialize(actions, "actions")

@@ -6,11 +6,23 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sessionloom.operators.filters import user_conditions
+
+ACTION_TABLE = "user_visit_action"
+USER_TABLE = "user_info"
+PRODUCT_TABLE = "product_info"
+
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def read_action_tables(spark: SparkSession, params: dict) -> tuple[DataFrame, DataFrame | None]:
+    """The action log, and the user table where the parameters filter on users."""
+    users = read_table(spark, USER_TABLE) if user_conditions(params) else None
+    return read_table(spark, ACTION_TABLE), users
+
+
 def register_views(frames: Mapping[str, DataFrame]) -> None:
     """Make frames visible to this session's SQL under their names."""
     for name, frame in frames.items():

@@ -21,7 +21,7 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get(_CHECKPOINT_DIR, None)
     if named:
         return f"{named.rstrip('/')}/sessionloom"
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError(f"set {_CHECKPOINT_DIR} to a folder that all executors reach")
     global _local_folder
     if _local_folder is None:

@@ -3,9 +3,11 @@
 import json
 import uuid
 
+import pytest
+
 from data import action, actions, cities, rows, users
 from sessionloom import schemas
-from sessionloom.plans.products import run_product_job
+from sessionloom.__main__ import main
 from sessionloom.plans.sessions import analyze_sessions, run_session_job
 from sessionloom.sinks import jdbc as jdbc_sinks
 from sessionloom.sources import jdbc as jdbc_sources
@@ -55,7 +57,7 @@ def test_jobs(spark, tmp_path):
     details = spark.read.text(str(tmp_path / "top10_category_session" / "task_1"))
     assert details.count() == 3
 
-    run_product_job(spark, 1, url)
+    main(["products", "1", "--url", url])
     assert rows(table(jdbc_sinks.AREA_PRODUCT_TABLE), "product_id", "product_type") == [
         ("7", "第三方商品"), ("8", "未知商品"),
     ]
@@ -70,3 +72,16 @@ def test_lazy_analysis_gives_the_same_figures(spark):
     assert frames["category_sessions"].count() == 2
     assert frames["top_session_records"].count() == 3
     assert json.loads(frames["statistics"].first()[0])["invalid_session_count"] == 1
+
+
+@pytest.mark.parametrize(
+    "arguments, error",
+    [
+        (["sessions", "1", "--url", "jdbc:x"], SystemExit),  # no output folder
+        (["other", "1", "--url", "jdbc:x"], SystemExit),
+        (["products", "first", "--url", "jdbc:x"], ValueError),
+    ],
+)
+def test_command_line_errors(arguments, error):
+    with pytest.raises(error):
+        main(arguments)

@@ -102,3 +102,12 @@ def test_statistics_scan_once(spark, tmp_path):
     frame.collect()
     final = frame._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert final.count("FileScan") == 1 and final.count("ReusedExchange") == 1
+
+
+def test_bucketed_log_is_not_shuffled_for_session_figures(spark):
+    small_log(spark).write.bucketBy(4, "session_id").saveAsTable("bucketed_log")
+    log = spark.table("bucketed_log")
+    for frame in (sessions.session_lengths(log), sessions.session_hours(log)):
+        assert "Exchange" not in frame._jdf.queryExecution().executedPlan().toString()
+    assert rows(sessions.session_totals(log)) == [(3, 70.0, 1)]
+    spark.sql("DROP TABLE bucketed_log")

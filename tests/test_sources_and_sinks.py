@@ -142,8 +142,8 @@ def test_temporary_tables_are_emptied(spark):
 
 def test_shared_folder():
     def session(master, **settings):
-        conf = SimpleNamespace(get=lambda key, default: settings.get(key, default))
-        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+        settings["spark.master"] = master
+        return SimpleNamespace(conf=SimpleNamespace(get=settings.get))
 
     named = {"spark.checkpoint.dir": "store://folder/"}
     assert shared_folder(session("yarn", **named)) == "store://folder/sessionloom"

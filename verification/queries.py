@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sessionloom.functions import labels, numbers, records, text, times
 from sessionloom.functions.sql import register_sql_functions
 from sessionloom.operators import categories, filters, products, sampling, sessions
-from sessionloom.plans.products import area_top10_products
+from sessionloom.plans import products as product_job
 from sessionloom.sinks import files as file_sinks
 from sessionloom.sinks import jdbc as jdbc_sinks
 from sessionloom.sources import files as file_sources
@@ -63,7 +63,7 @@ def _jdbc_url(spark: SparkSession) -> str:
     url = spark.conf.get(JDBC_URL_SETTING, None)
     if url:
         return url
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError(f"set {JDBC_URL_SETTING} to a database that all executors reach")
     return f"jdbc:derby:memory:check{uuid.uuid4().hex};create=true"
 
@@ -369,18 +369,15 @@ def area_product_clicks(t: Tables, spark: SparkSession, sf_dir: str) -> DataFram
 
 
 @query
-def area_top10_products_(t: Tables, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return area_top10_products(
+def area_top10_products(t: Tables, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return product_job.area_top10_products(
         t.user_visit_action, t.user_info, t.city_info, t.product_info, {}, levels=AREA_LEVELS
     )
 
 
-_REGISTRY["area_top10_products"] = _REGISTRY.pop("area_top10_products_")
-
-
 @query
 def area_top10_products_filtered(t: Tables, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return area_top10_products(
+    return product_job.area_top10_products(
         t.user_visit_action, t.user_info, t.city_info, t.product_info, FILTER, levels=AREA_LEVELS
     )
 
