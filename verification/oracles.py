@@ -437,9 +437,9 @@ def all_oracles() -> dict[str, str]:
         "ad_click_parse": with_views(AD_CLICKS + " SELECT * FROM ad_click", "ad_message"),
         "ad_click_counts": with_views(AD_CLICKS + AD_COUNTS, "ad_message"),
         "ad_click_counts_stream": with_views(
-            AD_CLICKS + AD_COUNTS + """
-            HAVING date_trunc('minute', ts) + INTERVAL 1 MINUTE
-              <= (SELECT max(ts) FROM ad_click) - INTERVAL 1 MINUTE""",
+            AD_CLICKS + f"""
+            SELECT * FROM ({AD_COUNTS})
+            WHERE window_end <= (SELECT max(ts) FROM ad_click) - INTERVAL 1 MINUTE""",
             "ad_message",
         ),
     }
