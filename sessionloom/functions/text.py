@@ -74,11 +74,16 @@ def set_field(
     value: Column | str, name: str, new_value: str, separator: str = ID_SEPARATOR
 ) -> Column:
     """Replace the first ``name=…`` field; the result is always joined by ``|``."""
+    field = f"{name}={new_value}"
+    if separator == ID_SEPARATOR:
+        before, after = r"(?s)\A(|.*?\|)", r"(?=\||\z)"
+        replacement = "$1" + field.replace("\\", "\\\\").replace("$", "\\$")
+        pattern = rf"{before}\Q{name}\E(?:=[^|]*)?{after}"
+        return F.regexp_replace(F.rtrim(_col(value), F.lit(separator)), pattern, replacement)
     fields = _fields(value, separator)
-    names = F.transform(fields, lambda field: F.split(field, "=")[0])
+    names = F.transform(fields, lambda item: F.split(item, "=")[0])
     hit = F.array_position(names, name)
     replaced = F.transform(
-        fields,
-        lambda field, i: F.when(i + 1 == hit, F.lit(f"{name}={new_value}")).otherwise(field),
+        fields, lambda item, i: F.when(i + 1 == hit, F.lit(field)).otherwise(item)
     )
     return F.array_join(replaced, ID_SEPARATOR)

@@ -151,4 +151,8 @@ def test_fields(spark):
     assert evaluate(spark, values, text.set_field("v", "b", "9")) == [
         "a=1|b=9|b=3", "c=1", "b=9", "b=9",
     ]
+    values = ["bc=1|b=|x", "xb=1", "|b=1", "b==2"]
+    assert evaluate(spark, values, text.set_field("v", "b", r"$1\2")) == [
+        r"bc=1|b=$1\2|x", "xb=1", r"|b=$1\2", r"b=$1\2",
+    ]
     assert evaluate(spark, ["a=1;b=2"], text.set_field("v", "a", "0", ";")) == ["a=0|b=2"]
