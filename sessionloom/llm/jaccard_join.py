@@ -25,7 +25,7 @@ different clusters is found.  Shingles are known by 64 bits of a hash.
 
 Defined results: null, empty and blank texts have an empty set and are their own class; texts
 shorter than a shingle have one shingle, the whole text; equal rows are linked; rows without id
-are left out of nothing but cannot name a class; an empty table gives no rows; other columns are
+belong to a class but do not name it; an empty table gives no rows; other columns are
 ignored.
 """
 
@@ -120,7 +120,11 @@ def _possible(threshold: int) -> Column:
 def jaccard_classes(
     docs: DataFrame, threshold: int = 85, size: int = 4, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """Columns doc_id, n_shingles, component_id (smallest id of the class)."""
+    """Columns doc_id, n_shingles, component_id (smallest id of the class), row, first_row.
+
+    ``row`` numbers the rows as ``monotonically_increasing_id`` does on the same frame, and
+    ``first_row`` is the class's row with the smallest id, so one row of a class can be chosen.
+    """
 
     def values_of(table: pa.Table) -> np.ndarray:
         flat = np.concatenate([np.empty(0, np.uint64), *shingle_sets(texts_of(table["text"]), size)])
@@ -172,7 +176,8 @@ def jaccard_classes(
         "shingles",
     )
     found = base.where("digest is not null")
-    members = found.groupBy("digest").agg(F.min("row").alias("set"), F.min("doc_id").alias("smallest"))
+    smallest = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "row"))
+    members = found.groupBy("digest").agg(F.min("row").alias("set"), F.min(smallest).alias("smallest"))
     members = materialize(members, "members")
     first = members.select(F.col("set").alias("row"))
     sets = materialize(
@@ -181,15 +186,23 @@ def jaccard_classes(
     )
     links = _links(sets, threshold)
     classes = connected_components(links)
-    named = (
-        members.join(classes, members["set"] == classes["node"], "left")
-        .select("digest", "smallest", F.coalesce("component", "set").alias("class"))
+    named = members.join(classes, members["set"] == classes["node"], "left").select(
+        "digest", "smallest", "set", F.coalesce("component", "set").alias("class")
     )
-    names = named.groupBy("class").agg(F.min("smallest").alias("component_id"))
-    named = named.join(names, "class").select("digest", "component_id")
-    classed = found.select("doc_id", "n", "digest").join(named, "digest").select("doc_id", "n", "component_id")
-    alone = base.where("digest is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    return classed.union(alone).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
+    names = named.groupBy("class").agg(F.min("smallest").alias("s"), F.min("set").alias("set"))
+    names = names.select("class", F.col("s.doc_id").alias("component_id"), F.coalesce("s.row", "set").alias("first_row"))
+    named = named.select("digest", "class").join(names, "class").drop("class")
+    columns = ["doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "row", "first_row"]
+    classed = found.select("row", "doc_id", "n", "digest").join(named, "digest").select(columns)
+    alone = base.where("digest is null").withColumn("component_id", F.col("doc_id")).withColumn("first_row", F.col("row"))
+    return classed.union(alone.select(columns))
+
+
+def one_of_each_class(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, all columns, that come first in their class."""
+    rows = jaccard_classes(docs, **options).where("row = first_row").select(F.col("row").alias("__row"))
+    rows = materialize(rows, "first")
+    return docs.withColumn("__row", F.monotonically_increasing_id()).join(rows, "__row", "left_semi").drop("__row")
 
 
 def _links(sets: DataFrame, threshold: int) -> DataFrame:
