@@ -29,8 +29,8 @@ from sessionloom.llm.words import mixed, texts_of, window_hashes
 WINDOW = 5
 CHUNK_BYTES = 4 << 20
 #: Rows on which cost and selectivity of the rules are estimated, and how often each is run.
-SAMPLE_ROWS = 2000
-SAMPLE_REPEATS = 10
+SAMPLE_ROWS = 500
+SAMPLE_REPEATS = 4
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 _SPACE = np.zeros(256, bool)
@@ -124,7 +124,8 @@ def default_rules(text: str = "text") -> list[Rule]:
         return F.length(body) - F.length(F.translate(body, characters, ""))
 
     n_words = F.size(words)
-    again = F.size(F.filter(F.sequence(F.lit(1), n_words - 1), lambda i: F.get(words, i) == F.get(words, i - 1)))
+    # Pairs of neighbours; the lists are made once a text, not once a word.
+    again = F.size(F.filter(F.zip_with(words, F.slice(words, F.lit(2), F.greatest(n_words, F.lit(1))), lambda a, b: a == b), lambda same: same))
     return [
         Rule("symbols", 100 * count_of("#*$%&|<>") > 30 * n_words),
         Rule("exclaiming", 100 * count_of("!") > 30 * n_words),

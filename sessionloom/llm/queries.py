@@ -102,13 +102,13 @@ QUERIES: dict[str, Query] = {
 }
 QUERIES["pipeline"] = corpus_pipeline.run
 
-_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '')"
+_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 ORACLES: dict[str, str] = {
     "op2_quality_cascade": rf"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, {_WORDS} AS w,
-    list_filter(string_split(coalesce(text, ''), chr(10)), l -> regexp_replace(l, '[\x20\x09-\x0D]+', '', 'g') <> '') AS l
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_replace(l, '[\x20\x09-\x0D]+', '', 'g') <> '') AS l
   FROM documents
 ), words AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
 windows AS (
@@ -167,7 +167,7 @@ FROM d LEFT JOIN kept USING (doc_id)""",
     "op9_jaccard_classes": r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x20\x09-\x0D]+'), w -> w <> '') AS w FROM documents
+    '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents
 ), s AS (
   SELECT DISTINCT doc_id, array_to_string(list_slice(w, p, p + 3), ' ') AS g
   FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS p FROM d WHERE len(w) > 0)
