@@ -44,7 +44,7 @@ def concat_id_name(id_: Column | str, name: Column | str) -> Column:
 
 def trim_comma(value: Column | str) -> Column:
     """Without one leading and one trailing comma."""
-    return F.regexp_replace(_col(value), "^,|,$", "")
+    return F.regexp_replace(_col(value), r"^,|,\z", "")
 
 
 def pad_two(value: Column | str) -> Column:

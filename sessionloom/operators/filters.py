@@ -66,6 +66,26 @@ def extended_action_conditions(params: dict) -> list[Column]:
     return conditions
 
 
+EXTENDED_PARAMETERS = (P.START_AGE, P.END_AGE, P.CITIES, P.KEYWORDS, P.CATEGORY_IDS)
+
+
+def all_user_conditions(params: dict, extended: bool) -> list[Column]:
+    return user_conditions(params) + (extended_user_conditions(params) if extended else [])
+
+
+def refuse_unused(params: dict, extended: bool) -> None:
+    """No parameter is passed over in silence: those of ``extended`` need it."""
+    unused = [name for name in EXTENDED_PARAMETERS if P.get_param(params, name) is not None]
+    if unused and not extended:
+        raise ValueError(f"parameters {', '.join(unused)} are used with extended=True only")
+
+
+def wanted_users(users: DataFrame, params: dict, extended: bool = False) -> DataFrame:
+    """The users that the parameters ask for, with the columns that filters look at."""
+    columns = ["user_id", "age", "professional", "city", "sex"]
+    return _where_all(users, all_user_conditions(params, extended)).select(*columns)
+
+
 def _where_all(df: DataFrame, conditions: list[Column]) -> DataFrame:
     return df.where(reduce(Column.__and__, conditions)) if conditions else df
 
@@ -99,18 +119,20 @@ def filter_actions(
         users,
         params,
         extended_action_conditions(params) if extended else [],
-        user_conditions(params) + (extended_user_conditions(params) if extended else []),
+        all_user_conditions(params, extended),
         ACTION_COLUMNS,
     )
 
 
-def filter_clicks(actions: DataFrame, users: DataFrame | None, params: dict) -> DataFrame:
-    """Product and city of each filtered action that clicked a real product."""
+def filter_clicks(
+    actions: DataFrame, users: DataFrame | None, params: dict, extended: bool = False
+) -> DataFrame:
+    """Product and city of each filtered action that clicked a real product; ``extended`` as above."""
     return _select_actions(
         actions,
         users,
         params,
-        [is_real_id("click_product_id")],
-        user_conditions(params),
+        [is_real_id("click_product_id"), *(extended_action_conditions(params) if extended else [])],
+        all_user_conditions(params, extended),
         ["click_product_id", "city_id"],
     )

@@ -22,9 +22,11 @@ def area_top10_products(
     params: dict,
     k: int = 10,
     levels: Mapping[str, str] = AREA_LEVELS,
+    extended: bool = False,
 ) -> DataFrame:
     """One lazy plan from the action log to the described top products."""
-    clicks = filters.filter_clicks(actions, users, params)
+    filters.refuse_unused(params, extended)
+    clicks = filters.filter_clicks(actions, users, params, extended)
     ranked = products.area_top_products(clicks, cities, k)
     return products.describe_products(ranked, product_info, levels)
 
@@ -34,19 +36,24 @@ def run_product_job(
     task_id: int,
     url: str,
     properties: Mapping[str, str] | None = None,
+    extended: bool = False,
+    k: int = 10,
 ) -> None:
     """The whole job for one task of the task table; cities come from the same database.
 
     The cities are written out first, as the size of a JDBC table is unknown and a known
-    small one is broadcast; so is the result, as the few connections of the sink would
+    small one is broadcast; so are the wanted users and the ranked products, k an area, so that
+    neither the log nor the product table is shuffled for them; and the result, as the few connections of the sink would
     narrow the product scan before it.
     """
     params = load_task_params(spark, url, task_id, properties)
     with temporary_tables(spark) as materialize:
-        result = area_top10_products(
-            *read_action_tables(spark, params),
-            materialize(read_city_info(spark, url, properties), "cities"),
-            read_table(spark, PRODUCT_TABLE),
-            params,
-        )
+        filters.refuse_unused(params, extended)
+        actions, users = read_action_tables(spark, params, extended)
+        if users is not None:
+            users = materialize(filters.wanted_users(users, params, extended), "users")
+        cities = materialize(read_city_info(spark, url, properties), "cities")
+        clicks = filters.filter_clicks(actions, users, params, extended)
+        ranked = materialize(products.area_top_products(clicks, cities, k), "ranked")
+        result = products.describe_products(ranked, read_table(spark, PRODUCT_TABLE))
         jdbc.append_area_products(materialize(result, "area-products"), task_id, url, properties)

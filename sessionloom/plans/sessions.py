@@ -19,9 +19,15 @@ def analyze_sessions(
     users: DataFrame | None,
     params: dict,
     seed: int = sampling.DEFAULT_SEED,
+    extended: bool = False,
 ) -> dict[str, DataFrame]:
-    """All result frames of a request, lazy; nothing is cached."""
-    filtered = filters.filter_actions(actions, users, params)
+    """All result frames of a request, lazy; nothing is cached.
+
+    With ``extended`` the age, city, keyword and category parameters count; without it a request
+    that sets one is refused.
+    """
+    filters.refuse_unused(params, extended)
+    filtered = filters.filter_actions(actions, users, params, extended)
     sample = sampling.sample_sessions(
         filtered, P.sample_ratio(params), P.sample_type(params), seed
     )
@@ -49,6 +55,7 @@ def run_session_job(
     output: str,
     properties: Mapping[str, str] | None = None,
     seed: int = sampling.DEFAULT_SEED,
+    extended: bool = False,
 ) -> None:
     """The whole job for one task of the task table.
 
@@ -56,12 +63,17 @@ def run_session_job(
     at ``url`` and writes the detail records under ``output``.  What several outputs share
     is written to the shared folder once: the actions when a user filter needs a join, and
     the small results (sample, rankings), whose real size then decides how they are joined.
-    So are the documents, as the few connections of the sink would narrow their last stage.
+    So are the users that a filter leaves, which then spare the log its shuffle where they are few,
+    and the documents, as the few connections of the sink would narrow their last stage.
     """
     params = load_task_params(spark, url, task_id, properties)
-    actions = filters.filter_actions(*read_action_tables(spark, params), params)
+    filters.refuse_unused(params, extended)
+    actions, users = read_action_tables(spark, params, extended)
     with temporary_tables(spark) as materialize:
-        if filters.user_conditions(params):
+        if users is not None:
+            users = materialize(filters.wanted_users(users, params, extended), "users")
+        actions = filters.filter_actions(actions, users, params, extended)
+        if users is not None:
             actions = materialize(actions, "actions")
 
         jdbc.append_statistics(sessions.session_statistics(actions), task_id, url, properties)

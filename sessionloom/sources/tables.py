@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sessionloom.operators.filters import user_conditions
+from sessionloom.operators.filters import all_user_conditions
 
 ACTION_TABLE = "user_visit_action"
 USER_TABLE = "user_info"
@@ -17,9 +17,9 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def read_action_tables(spark: SparkSession, params: dict) -> tuple[DataFrame, DataFrame | None]:
+def read_action_tables(spark: SparkSession, params: dict, extended: bool = False) -> tuple[DataFrame, DataFrame | None]:
     """The action log, and the user table where the parameters filter on users."""
-    users = read_table(spark, USER_TABLE) if user_conditions(params) else None
+    users = read_table(spark, USER_TABLE) if all_user_conditions(params, extended) else None
     return read_table(spark, ACTION_TABLE), users
 
 

@@ -66,3 +66,10 @@ def test_filters_reach_the_scan(spark, log, tmp_path):
     plan = clicks._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(date,2024-01-02)" in plan
     assert "ReadSchema: struct<date:string,click_product_id:string,city_id:int>" in plan
+
+
+def test_parameters_that_would_be_passed_over_are_refused():
+    with pytest.raises(ValueError, match="startAge"):
+        filters.refuse_unused({"startAge": "20", "endAge": "30"}, extended=False)
+    filters.refuse_unused({"startAge": "20", "endAge": "30"}, extended=True)
+    filters.refuse_unused({"sex": "male"}, extended=False)

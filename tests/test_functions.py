@@ -156,3 +156,15 @@ def test_fields(spark):
         r"bc=1|b=$1\2|x", "xb=1", r"|b=$1\2", r"b=$1\2",
     ]
     assert evaluate(spark, ["a=1;b=2"], text.set_field("v", "a", "0", ";")) == ["a=0|b=2"]
+
+
+@pytest.mark.parametrize("text", ["2024-01-01T10:00:00", "2024-01-01 1:0:0.12", "2024-01-01T10:00", "2024-01-01 10:00:00\n"])
+def test_only_the_usual_format_is_a_time(spark, text):
+    frame = spark.createDataFrame([(text,)], "t string")
+    with pytest.raises(Exception, match="PARSE|parse|CAST"):
+        frame.select(times.parse_time("t")).collect()
+
+
+def test_trim_comma_keeps_a_comma_before_a_final_line_feed(spark):
+    frame = spark.createDataFrame([("a,\n",), (",a,",)], "t string")
+    assert [r[0] for r in frame.select(text.trim_comma("t")).collect()] == ["a,\n", "a"]

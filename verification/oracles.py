@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
-from sessionloom.operators.sessions import STEP_LENGTH_BUCKETS, VISIT_LENGTH_BUCKETS
 from sessionloom.schemas import USER_VISIT_ACTION
 from verification.fixtures import with_views
 from verification.queries import RATIO, TASK_ID
 
 ACTIONS = "user_visit_action"
 
+# Written out, so that a wrong bound in the operator shows.
+VISIT_LENGTH_BUCKETS = [
+    ("1s_4s", 1_000, 4_000), ("4s_7s", 4_000, 7_000), ("7s_10s", 7_000, 10_000), ("10s_30s", 10_000, 30_000),
+    ("30s_60s", 30_000, 60_000), ("1m_3m", 60_000, 180_000), ("3m_10m", 180_000, 600_000),
+    ("10m_30m", 600_000, 1_800_000), ("30m", 1_800_000, None),
+]
+STEP_LENGTH_BUCKETS = [
+    ("1_3", 1, 3), ("4_6", 4, 6), ("7_9", 7, 9), ("10_29", 10, 29), ("30_59", 30, 59), ("60", 60, None),
+]
+
 FILTER = """
     a.date >= '2024-01-03' AND a.date <= '2024-01-25'
     AND u.sex = 'male' AND u.professional IN ('BUILDING', 'MACHINERY')"""
@@ -266,7 +275,7 @@ def all_oracles() -> dict[str, str]:
         ),
         "sink_sample_session_jdbc": with_views(
             PARTS + _sample(RATIO) + TOP_SAMPLE + TIMED + f"""
-            SELECT {task}, session_id, day, hour,
+            SELECT {task}, session_id, day, hour, CAST(0 AS BIGINT) AS part,
               '[' || string_agg({_record()}, ',' ORDER BY {RECORD_ORDER}) || ']' AS record
             FROM timed JOIN top_sample USING (session_id, day, hour)
             GROUP BY session_id, day, hour""",

@@ -156,7 +156,7 @@ def sink_sample_session_jdbc(t: Tables, spark: SparkSession, sf_dir: str) -> Dat
         sampling.top_sampled_sessions(sampling.sample_sessions(t.user_visit_action, RATIO)),
         "top-sample",
     )
-    documents = sampling.session_hour_documents(t.user_visit_action, top)
+    documents = materialize(sampling.session_hour_documents(t.user_visit_action, top), "documents")
     jdbc_sinks.append_sample_sessions(documents, TASK_ID, url)
     rows = jdbc_sources.read_jdbc(spark, url, jdbc_sinks.SAMPLE_SESSION_TABLE)
     return jdbc_sources.lower_case_columns(rows).where(F.col("task_id") == TASK_ID)
