@@ -53,7 +53,7 @@ class _Index:
         self.terms_of = terms
         term, tf = np.concatenate(terms), np.concatenate(counts).astype(np.float32)
         doc = np.repeat(np.arange(self.size, dtype=np.int32), sizes)
-        df = np.bincount(term, minlength=1 << 16)
+        df = self.df = np.bincount(term, minlength=1 << 16)
         self.idf = np.log1p((self.size - df + 0.5) / (df + 0.5)).astype(np.float32)
         lengths = np.array([len(ids) for ids in docs], np.float32)
         norm = K1 * (1 - B + B * lengths / lengths.mean())
@@ -65,10 +65,10 @@ class _Index:
     def neighbours(self, seed: int) -> np.ndarray:
         """Documents that share a term with the seed's rarest, best first."""
         terms = self.terms_of[seed]
+        terms = terms[self.df[terms] > 1]  # a term of one document finds only the seed
         if len(terms) > QUERY_TERMS:
             terms = terms[np.argpartition(-self.idf[terms], QUERY_TERMS)[:QUERY_TERMS]]
-        # A term of one document finds only the seed.
-        spans = [slice(self.starts[t], self.starts[t + 1]) for t in terms if self.starts[t + 1] - self.starts[t] > 1]
+        spans = [slice(self.starts[t], self.starts[t + 1]) for t in terms]
         if not spans:
             return np.empty(0, np.int64)
         scores = np.bincount(
