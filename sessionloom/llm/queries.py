@@ -21,6 +21,7 @@ from sessionloom.llm import (
     toxicity,
 )
 from sessionloom.llm.shipping import ship_package
+from sessionloom.workspace import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,7 +62,9 @@ def op6_window_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.with_running_sums(token_counts.length_histogram(_table(spark, sf_dir, "documents")))
+    histogram = token_counts.length_histogram(_table(spark, sf_dir, "documents"))
+    # Two branches read the histogram; written once, the documents are encoded once.
+    return token_counts.with_running_sums(materialize(histogram, "token-lengths"))
 
 
 def op8_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
