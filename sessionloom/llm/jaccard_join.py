@@ -18,10 +18,11 @@ Method, set-relation skipping:
   compared with the rest of it; a set linked to a leader joins its cluster and has its links
   within the cluster from there.  Between clusters only the leaders are compared; Jaccard
   distance is a metric, so members can only link where the leaders' distance is at most the
-  members' distances to them plus that of a link.  What remains is compared one by one.
+  members' distances to them plus that of a link.  Clusters that the links of
+  leaders connect already are one class and need no more.  What remains is compared one by one.
 
-So the copies and near copies of a text are never paired with each other, and every link between
-different clusters is found.  Shingles are known by 64 bits of a hash.
+So the copies and near copies of a text are never paired with each other, and every link that
+joins two classes is found.  Shingles are known by 64 bits of a hash.
 
 Defined results: null, empty and blank texts have an empty set and are their own class; texts
 shorter than a shingle have one shingle, the whole text; equal rows are linked; rows without id
@@ -184,8 +185,7 @@ def jaccard_classes(
         found.join(first, "row", "left_semi").select(F.col("row").alias("set"), "n", "shared", "prefix", "positions"),
         "sets",
     )
-    links = _links(sets, threshold)
-    classes = connected_components(links)
+    classes = _classes(sets, threshold)
     named = members.join(classes, members["set"] == classes["node"], "left").select(
         "digest", "smallest", "set", F.coalesce("component", "set").alias("class")
     )
@@ -205,8 +205,8 @@ def one_of_each_class(docs: DataFrame, **options) -> DataFrame:
     return docs.withColumn("__row", F.monotonically_increasing_id()).join(rows, "__row", "left_semi").drop("__row")
 
 
-def _links(sets: DataFrame, threshold: int) -> DataFrame:
-    """Links (a, b) that connect all sets that links connect."""
+def _classes(sets: DataFrame, threshold: int) -> DataFrame:
+    """(node, component) of every set that has a link."""
     linked = F.col("overlap") * (100 + threshold) >= (F.col("n") + F.col("m")) * threshold
     distance = 1 - F.col("overlap") / (F.col("n") + F.col("m") - F.col("overlap"))
     entries = sets.select("set", "n", F.explode(F.arrays_zip("prefix", "positions")).alias("e")).select(
@@ -270,6 +270,14 @@ def _links(sets: DataFrame, threshold: int) -> DataFrame:
     heads = materialize(
         _similar(unknown, sets).unionByName(known.join(together, ["a", "b"], "left_semi")), "heads"
     )
+    # Classes so far.  Links inside one connect nothing new, so only clusters of different classes go on.
+    links = compared.where(linked).select("a", "b").union(heads.where(linked).select("a", "b"))
+    classes = connected_components(links)
+
+    def classed(frame: DataFrame, end: str) -> DataFrame:
+        named = classes.select(F.col("node").alias(end), F.col("component").alias("c"))
+        return frame.join(named, end, "left").withColumn(f"class_{end}", F.coalesce("c", end)).drop("c")
+
     widest = clustered.groupBy("cluster").agg(F.max("far").alias("far"), F.count("*").alias("members"))
     between = (
         heads.where(~linked)
@@ -279,7 +287,10 @@ def _links(sets: DataFrame, threshold: int) -> DataFrame:
         .where(distance <= F.col("far_a") + F.col("far_b") + (1 - threshold / 100) + 1e-9)
         .select("a", "b", distance.alias("apart"))
     )
+    between = classed(classed(between, "a"), "b").where("class_a <> class_b").select("a", "b", "apart")
     between = materialize(between, "between")
+    if between.isEmpty():
+        return classes
     touched = between.select(F.col("a").alias("cluster")).union(between.select("b")).distinct()
     x = placed.join(touched, "cluster", "left_semi").alias("x")
     y = (
@@ -303,8 +314,9 @@ def _links(sets: DataFrame, threshold: int) -> DataFrame:
         .join(known, ["a", "b"], "left_anti")
     )
     found = _similar(rest, sets).where(linked).select("a", "b")
-    return (
-        compared.where(linked).select("a", "b")
-        .union(heads.where(linked).select("a", "b"))
-        .union(found)
-    )
+    joining = classed(classed(found, "a"), "b").select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
+    joined = connected_components(joining.distinct())
+    further = joined.select(F.col("node").alias("component"), F.col("component").alias("final"))
+    known_sets = classes.join(further, "component", "left").select("node", F.coalesce("final", "component").alias("component"))
+    # Sets without a class until now.
+    return known_sets.union(joined.join(classes, "node", "left_anti").select("node", "component"))
