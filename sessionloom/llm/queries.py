@@ -11,6 +11,7 @@ import corpus_pipeline
 from sessionloom.llm import (
     chat,
     decontamination,
+    hard_negatives,
     html_text,
     jaccard_join,
     packing,
@@ -88,6 +89,16 @@ def op10_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id = F.col("vec_id")
+    mined = hard_negatives.mine(
+        _table(spark, sf_dir, "embeddings"),
+        is_anchor=vec_id % 100 == 0,
+        label_of=F.when(vec_id % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")),
+    )
+    return mined.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
 QUERIES: dict[str, Query] = {
     function.__name__: function
     for function in (
@@ -101,6 +112,7 @@ QUERIES: dict[str, Query] = {
         op8_toxicity_scores,
         op9_jaccard_classes,
         op10_lexical_packing,
+        op12_hard_negatives,
     )
 }
 QUERIES["pipeline"] = corpus_pipeline.run
@@ -182,4 +194,27 @@ pairs AS (
 ), reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(c.b, d.doc_id)) AS component_id
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a, min(b) AS b FROM reach GROUP BY a) c ON c.a = d.doc_id""",
+    "op12_hard_negatives": """
+WITH sound AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
+), parts AS (SELECT r, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM sound),
+anchors AS (SELECT * FROM sound WHERE vec_id % 100 = 0),
+products AS (
+  SELECT a.r AS a, b.r AS b, CAST(sum(a.x * b.x) AS BIGINT) AS score
+  FROM parts a JOIN parts b USING (i) WHERE a.r IN (SELECT r FROM anchors) GROUP BY ALL
+), scores AS (
+  SELECT a.r AS a, a.vec_id AS anchor_id, b.r AS b, b.vec_id AS other_id, a.label = b.label AS same, coalesce(score, 0) AS score
+  FROM anchors a JOIN sound b ON a.r <> b.r LEFT JOIN products p ON p.a = a.r AND p.b = b.r
+), positives AS (
+  SELECT * FROM scores WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, other_id NULLS LAST, b) <= 5
+)
+SELECT p.anchor_id, p.other_id AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.other_id NULLS LAST, n.b) AS INTEGER) AS rank,
+  n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scores n ON n.a = p.a AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY rank <= 5""",
 }
