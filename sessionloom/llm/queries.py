@@ -17,6 +17,7 @@ from sessionloom.llm import (
     packing,
     pii,
     quality,
+    source_mix,
     substring_dedup,
     token_counts,
     toxicity,
@@ -89,6 +90,11 @@ def op10_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, mixed = source_mix.mix(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vec_id = F.col("vec_id")
     mined = hard_negatives.mine(
@@ -112,6 +118,7 @@ QUERIES: dict[str, Query] = {
         op8_toxicity_scores,
         op9_jaccard_classes,
         op10_lexical_packing,
+        op11_source_mix,
         op12_hard_negatives,
     )
 }
@@ -194,6 +201,35 @@ pairs AS (
 ), reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(c.b, d.doc_id)) AS component_id
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a, min(b) AS b FROM reach GROUP BY a) c ON c.a = d.doc_id""",
+    "op11_source_mix": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
+  FROM d GROUP BY source
+), w AS (SELECT *, CASE place % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS weight FROM s),
+-- In the order of the level at which they are full, sources are capped until the level of the rest is lower.
+o AS (
+  SELECT *, CAST(sum(source_size) OVER () AS BIGINT) AS total, CAST(sum(weight) OVER () AS BIGINT) AS every,
+    CAST(sum(source_size) OVER (ORDER BY source_size / weight, place ROWS UNBOUNDED PRECEDING) AS BIGINT) AS c,
+    CAST(sum(weight) OVER (ORDER BY source_size / weight, place ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cw
+  FROM w
+), f AS (
+  SELECT *, CAST(weight AS HUGEINT) * (3 * total - 4 * (c - source_size)) > CAST(source_size AS HUGEINT) * 4 * (every - cw + weight) AS above FROM o
+), t AS (
+  SELECT *, coalesce(max(c) FILTER (WHERE above) OVER (), 0) AS capped, coalesce(max(cw) FILTER (WHERE above) OVER (), 0) AS cappedw FROM f
+), g AS (
+  SELECT source, source_size, CASE WHEN above THEN CAST(2 * source_size AS DOUBLE)
+    ELSE CAST(weight * (3 * total - 4 * capped) AS DOUBLE) / CAST(2 * (every - cappedw) AS DOUBLE) END AS target
+  FROM t
+), x AS (
+  SELECT d.*, source_size, target, least(CAST(floor(target) AS BIGINT), 2 * source_size) AS words,
+    CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), '')), doc_id NULLS LAST, size, r
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS b
+  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source
+)
+SELECT doc_id, size, source_size, target, CAST(greatest(least(words, b + size) - b, 0)
+  + greatest(least(words, source_size + b + size) - source_size - b, 0) AS BIGINT) AS taken
+FROM x""",
     "op12_hard_negatives": """
 WITH sound AS (
   SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
