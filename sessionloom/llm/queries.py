@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sessionloom.llm import (
+    alignment,
     chat,
     decontamination,
     hard_negatives,
@@ -105,6 +106,11 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mined.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned, _ = alignment.align(_table(spark, sf_dir, "documents"))
+    return aligned.drop("groups")
+
+
 QUERIES: dict[str, Query] = {
     function.__name__: function
     for function in (
@@ -120,6 +126,7 @@ QUERIES: dict[str, Query] = {
         op10_lexical_packing,
         op11_source_mix,
         op12_hard_negatives,
+        op13_tokenizer_alignment,
     )
 }
 QUERIES["pipeline"] = corpus_pipeline.run
