@@ -80,6 +80,19 @@ VIEWS = {
         FROM (SELECT user_id, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k,
                 EPOCH_MS AS epoch
               FROM events) e""",
+    # the same feed with messages that are no clicks: wrong shape, or a broken number
+    "ad_feed": """
+        SELECT CASE event_id % 12
+            WHEN 1 THEN concat(epoch, ' province_', k)
+            WHEN 3 THEN concat('x', epoch, ' province_', k, ' city_1 ', user_id, ' ', k)
+            WHEN 5 THEN concat(epoch, ' province_', k, ' city_1 u', user_id, ' ', k)
+            WHEN 7 THEN concat(epoch, ' province_', k, ' city_1 ', user_id, ' ad', k)
+            WHEN 9 THEN concat(epoch, ' province_', k, ' city_1 ', user_id, ' ', k, ' more')
+            ELSE concat(epoch, ' province_', user_id % 100, ' city_', user_id % 1000, ' ', user_id,
+                        ' ', k) END AS value
+        FROM (SELECT event_id, user_id, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k,
+                EPOCH_MS AS epoch
+              FROM events) e""",
 }
 
 # The one expression the two engines spell differently: milliseconds since 1970.
@@ -105,6 +118,7 @@ class Tables:
     city_info: DataFrame
     tb_task: DataFrame
     ad_message: DataFrame
+    ad_feed: DataFrame
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._spark, self._sf_dir = spark, sf_dir

@@ -445,7 +445,19 @@ def all_oracles() -> dict[str, str]:
         "scalar_functions": with_views(SCALARS, actions),
         "ad_click_parse": with_views(AD_CLICKS + " SELECT * FROM ad_click", "ad_message"),
         "ad_click_counts": with_views(AD_CLICKS + AD_COUNTS, "ad_message"),
-        "ad_click_counts_stream": with_views(
+        "ad_click_counts_stream": with_views(AD_CLICKS + AD_COUNTS, "ad_message"),
+        "ad_click_refused": with_views(
+            """,
+            p AS (SELECT string_split(value, ' ') AS p FROM ad_feed)
+            SELECT CASE WHEN len(p) <> 5 THEN 'fields'
+                WHEN TRY_CAST(p[1] AS BIGINT) IS NULL THEN 'timestamp'
+                WHEN TRY_CAST(p[4] AS BIGINT) IS NULL THEN 'user_id'
+                WHEN TRY_CAST(p[5] AS BIGINT) IS NULL THEN 'ad_id' ELSE 'accepted' END AS reason,
+              count(*) AS messages
+            FROM p GROUP BY ALL""",
+            "ad_feed",
+        ),
+        "ad_click_counts_closed": with_views(
             AD_CLICKS + f"""
             SELECT * FROM ({AD_COUNTS})
             WHERE window_end <= (SELECT max(ts) FROM ad_click) - INTERVAL 1 MINUTE""",

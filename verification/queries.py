@@ -445,7 +445,33 @@ def ad_click_counts(t: Tables, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ad_click_counts_stream(t: Tables, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same counts from a stream over message files, for the windows it has closed."""
+    """The same counts from a feed over message files, read in several batches to its end."""
+    return _fed_table(t.ad_message, spark).counts()
+
+
+@query
+def ad_click_refused(t: Tables, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted and refused messages of a feed; together they are all that was read."""
+    table = _fed_table(t.ad_feed, spark)
+    good = table.counts().agg(F.sum("click_count").alias("messages"))
+    bad = table.refused().groupBy("reason").agg(F.count(F.lit(1)).alias("messages"))
+    return good.select(F.lit("accepted").alias("reason"), "messages").unionByName(bad)
+
+
+def _fed_table(messages: DataFrame, spark: SparkSession) -> ad_clicks.AdClickTable:
+    source = fresh_path(spark, "ad-messages")
+    file_sinks.write_lines(messages.repartition(4), source)
+    feed = spark.readStream.option("maxFilesPerTrigger", 2).text(source)
+    table = ad_clicks.AdClickTable(spark, fresh_path(spark, "ad-counts"))
+    checkpoint = fresh_path(spark, "ad-checkpoint")
+    table.start(feed, checkpoint, available_now=True).awaitTermination()
+    table.compact(0)
+    return table
+
+
+@query
+def ad_click_counts_closed(t: Tables, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the windows that a watermarked stream over message files has closed."""
     source = fresh_path(spark, "ad-messages")
     file_sinks.write_lines(t.ad_message, source)
     counts = ad_clicks.count_ad_clicks(ad_clicks.parse_ad_clicks(spark.readStream.text(source)))
