@@ -4,22 +4,24 @@ A is a byte-level BPE on a blank and the text, B a sentence-piece model, which a
 Where tokens of both end at the same byte the text is cut into groups; all pairs of an A and a B
 token in a group are links.  The count of a pair of ids is the number of documents that link it.
 
-Alignment.  Where all white space is single blanks and line feeds between words, neither tokenizer
+Units.  Where all white space is single blanks and line feeds between words, neither tokenizer
 joins anything across a blank, so both end a token there and a text's groups are those of its
-words, each with the blank before it.  Words are aligned once per task and remembered (a bounded
-number of them); any other text is aligned as a whole.
-
-Counting.  Documents are dealt into parcels of bounded text.
-1. A parcel lists its distinct pairs, by bucket of the pair's A id, with the number of its documents.
-2. The lists of a bucket are united along a tree of ``FAN`` parcels a node; over its distinct pairs the bucket
+words, each with the blank before it.  So a text is a sequence of units: its words, or the whole
+text where it has other white space.  Distinct units are encoded and aligned once in a chunk.
+
+Counting.
+1. Tasks cut their documents into chunks of bounded text: the tokens of distinct units, the units of each
+   document, and the distinct pairs with the number of the chunk's documents, by bucket of the pair's A id.
+   Chunks are written once; texts are neither shuffled nor read again.
+2. The lists of a bucket are united along a tree of ``FAN`` chunks a node; over its distinct pairs the bucket
    builds a minimal perfect hash function (``perfect_hash``) and keeps the pairs by number.
-3. Every node of parcels turns its lists into one dense vector of counts, indexed by the hash, and the vectors
+3. Every node of chunks turns its lists into one dense vector of counts, indexed by the hash, and the vectors
    are summed along the same tree.  As a bucket holds all pairs of its A ids, it knows each id's
    highest count.
-4. The parcels' lists are answered by the buckets, each pair compared with the key kept under its
-   number; the second pass over the documents aligns them again and looks the counts up.
+4. The chunks' lists are answered by the buckets, each pair compared with the key kept under its
+   number; the second pass over the documents aligns their tokens again and looks the counts up.
 
-No group holds more than ``FAN`` lists, ``FAN`` vectors or a parcel, however often a pair or a document occurs; a
+No group holds more than ``FAN`` lists, ``FAN`` vectors or a chunk, however often a pair or a document occurs; a
 vector is as long as a bucket's distinct pairs, which the two vocabularies bound.
 
 Defined results: null and empty texts, and texts whose joined A or B bytes differ from a blank and
@@ -29,35 +31,37 @@ documents of their own; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import os
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionloom.llm.counting import parcels
 from sessionloom.llm.perfect_hash import PerfectHash
-from sessionloom.llm.token_ids import _plain
+from sessionloom.llm.token_ids import plain
 from sessionloom.workspace import materialize
 
-VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
+#: A as the tokenizer's own file and as ranks, and B.
+VOCABULARY_A, RANKS_A, VOCABULARY_B = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 #: Buckets of A ids; a bucket's pairs are all those of its ids.
 BUCKETS = 256
 #: Lists and vectors that meet in one group.
 FAN = 64
-#: Two generations of so many words are remembered.
-CACHED_WORDS = 150_000
-#: Words given to the tokenizers at a time.
-ENCODED_AT_ONCE = 20_000
+#: A chunk is closed when its texts have so many characters.
+CHUNK_CHARS = 4 << 20
 EMPTY = np.empty(0, np.uint64)
 
 
-def vocabulary_paths() -> tuple[str, str]:
+def vocabulary_paths() -> tuple[str, str, str]:
     import public_tokenizers
 
-    return public_tokenizers.path(VOCABULARY_A), public_tokenizers.path(VOCABULARY_B)
+    return tuple(map(public_tokenizers.path, (VOCABULARY_A, RANKS_A, VOCABULARY_B)))
 
 
 def _byte_values() -> dict[str, int]:
@@ -68,98 +72,92 @@ def _byte_values() -> dict[str, int]:
     return {chr(b): b for b in kept} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
-class Unit:
-    """The alignment of a text or of a word with the blank before it."""
-
-    __slots__ = ("groups", "n_a", "n_b", "n_groups", "pairs")
-
-    def __init__(self, a: list[int], b: list[int], ends_a: np.ndarray, ends_b: np.ndarray) -> None:
-        self.n_a, self.n_b = len(a), len(b)
-        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        to_a, to_b = np.searchsorted(ends_a, cuts) + 1, np.searchsorted(ends_b, cuts) + 1
-        text, pairs, i, j = [], [], 0, 0
-        for m, n in zip(to_a.tolist(), to_b.tolist(), strict=True):
-            text.append(f"{','.join(map(str, a[i:m]))}|{','.join(map(str, b[j:n]))}")
-            pairs.extend(x << 32 | y for x in a[i:m] for y in b[j:n])
-            i, j = m, n
-        self.n_groups, self.groups, self.pairs = len(text), ";".join(text), np.array(pairs, np.uint64)
-
+class Vocabularies:
+    """Both tokenizers and the bytes of their tokens."""
 
-class Aligner:
-    """Alignments by two vocabularies."""
-
-    def __init__(self, path_a: str, path_b: str) -> None:
+    def __init__(self, path_a: str, ranks_a: str, path_b: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import public_tokenizers
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self._a = Tokenizer.from_file(path_a)
         self._a.encode_special_tokens = True
-        values = _byte_values()
-        self._bytes_a = {i: bytes(values[c] for c in t) for t, i in self._a.get_vocab().items() if all(c in values for c in t)}
+        values, names = _byte_values(), self._a.get_vocab()
+        self.bytes_a = [b""] * (max(names.values()) + 1)
+        for name, i in names.items():
+            if all(c in values for c in name):
+                self.bytes_a[i] = bytes(values[c] for c in name)
+        # The same vocabulary as ranks encodes many words at a time several times faster.
+        with open(ranks_a, "rb") as lines:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        if any(self.bytes_a[i] != token for token, i in ranks.items()):
+            raise ValueError("the ranks are not those of the vocabulary")
+        self._fast_a = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self._b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        self._bytes_b = [
-            bytes([int(piece[3:5], 16)]) if self._b.is_byte(i) else piece.replace("▁", " ").encode()
+        self.bytes_b = [
+            bytes([int(piece[3:5], 16)]) if self._b.is_byte(i) else piece.replace("\u2581", " ").encode()
             for i, piece in enumerate(map(self._b.id_to_piece, range(self._b.get_piece_size())))
         ]
-        self._known: dict[str, Unit | None] = {}
-        self._old: dict[str, Unit | None] = {}
-
-    def _aligned(self, texts: list[str]) -> list[Unit | None]:
-        """None where the tokens' bytes are not a blank and the text."""
-        found_a = self._a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        found_b = self._b.encode(texts, num_threads=1)
-        out = []
-        for text, a, b in zip(texts, found_a, found_b, strict=True):
-            a, whole = a.ids, (" " + text).encode()
-            parts_a, parts_b = [self._bytes_a[i] for i in a], [self._bytes_b[i] for i in b]
-            if b"".join(parts_a) != whole or b"".join(parts_b) != whole:
-                out.append(None)
-                continue
-            ends = (np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts))) for parts in (parts_a, parts_b))
-            out.append(Unit(a, b, *ends))
-        return out
-
-    def units(self, texts: list[str | None]) -> tuple[list[Unit], np.ndarray, np.ndarray]:
-        """Distinct units, those of all texts in turn as indices into them, and each text's number of units.
-
-        A text without tokens has no units.
-        """
-        index: dict[str, int] = {}
-        rows = []
-        for text in texts:
-            if not text:
-                words = []
-            elif _plain(text):
-                words = text.split(" ")
-            else:
-                words = [text]
-            rows.append([index.setdefault(w, len(index)) for w in words])
-        names = list(index)
-        units: list[Unit | None] = [self._known.get(w) or self._old.get(w) for w in names]
-        unknown = [k for k, unit in enumerate(units) if unit is None]
-        for at in range(0, len(unknown), ENCODED_AT_ONCE):
-            some = unknown[at : at + ENCODED_AT_ONCE]
-            for k, unit in zip(some, self._aligned([names[k] for k in some]), strict=True):
-                units[k] = unit
-        if len(self._known) + len(unknown) > CACHED_WORDS:
-            self._old, self._known = self._known, {}
-        # Long texts that are aligned as a whole are not kept.
-        self._known |= {names[k]: units[k] for k in unknown if units[k] is not None and len(names[k]) < 100}
-        rows = [[] if any(units[k] is None for k in row) else row for row in rows]
-        sizes = np.array([len(row) for row in rows], np.int64)
-        flat = np.fromiter((k for row in rows for k in row), np.int64, sizes.sum())
-        return [unit if unit is not None else _NOTHING for unit in units], flat, sizes
-
-
-_NOTHING = Unit([], [], np.empty(0, np.int64), np.empty(0, np.int64))
-_aligners: dict[tuple[str, str], Aligner] = {}
-
-
-def aligner(paths: tuple[str, str]) -> Aligner:
-    if paths not in _aligners:
-        _aligners[paths] = Aligner(*paths)
-    return _aligners[paths]
+        self.lengths_a, self.lengths_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
+        numbers = list(map(str, range(max(len(self.bytes_a), len(self.bytes_b)))))
+        #: Every id as text, after nothing, ``;``, ``,`` and ``|``.
+        self.texts = np.array([mark + n for mark in ("", ";", ",", "|") for n in numbers], object)
+        self.ids = len(numbers)
+
+    def encode(self, units: list[str]) -> Tokens:
+        """The tokens of units; one whose bytes differ from a blank and the unit has none."""
+        wholes = [b" " + u.encode() for u in units]
+        sizes = np.array(list(map(len, wholes)), np.int64)
+        flat_a, n_a = self._encode_a(units, sizes)
+        found_b = self._b.encode(units, num_threads=1) if units else []
+        n_b = np.array(list(map(len, found_b)), np.int64)
+        flat_b = np.fromiter(chain.from_iterable(found_b), np.int64, n_b.sum())
+        good = np.ones(len(units), bool)
+        for flat, n, lengths, tokens in ((flat_a, n_a, self.lengths_a, self.bytes_a), (flat_b, n_b, self.lengths_b, self.bytes_b)):
+            good &= _sums(lengths[flat], n) == sizes
+            if b"".join(map(tokens.__getitem__, flat.tolist())) != b"".join(wholes):
+                ends = np.cumsum(n)
+                for k in np.flatnonzero(good).tolist():
+                    good[k] = b"".join([tokens[i] for i in flat[ends[k] - n[k] : ends[k]].tolist()]) == wholes[k]
+        flat_a, flat_b = flat_a[np.repeat(good, n_a)], flat_b[np.repeat(good, n_b)]
+        return Tokens(flat_a, np.where(good, n_a, 0), flat_b, np.where(good, n_b, 0))
+
+    def _encode_a(self, units: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if units and all(map(plain, units)):
+            flat = self._fast_a.encode_to_numpy(" " + " ".join(units), allowed_special=set(), disallowed_special=()).astype(np.int64)
+            ends = np.cumsum(self.lengths_a[flat])
+            cuts = np.searchsorted(ends, np.cumsum(sizes))
+            if len(flat) and cuts[-1] == len(flat) - 1 and (ends[cuts] == np.cumsum(sizes)).all():
+                return flat, np.diff(cuts, prepend=-1)
+        found = [e.ids for e in self._a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)]
+        n = np.array(list(map(len, found)), np.int64)
+        return np.fromiter(chain.from_iterable(found), np.int64, n.sum()), n
+
+
+class Tokens(NamedTuple):
+    """The tokens of units, one unit after the other, and how many each has."""
+
+    a: np.ndarray
+    n_a: np.ndarray
+    b: np.ndarray
+    n_b: np.ndarray
+
+
+_vocabularies: dict[tuple[str, str, str], Vocabularies] = {}
+
+
+def vocabularies(paths: tuple[str, str, str]) -> Vocabularies:
+    if paths not in _vocabularies:
+        _vocabularies[paths] = Vocabularies(*paths)
+    return _vocabularies[paths]
+
+
+def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of consecutive runs of values."""
+    running, ends = np.concatenate([[0], np.cumsum(values)]), np.cumsum(sizes)
+    return running[ends] - running[ends - sizes]
 
 
 def _expanded(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -168,18 +166,66 @@ def _expanded(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes - starts, sizes)
 
 
-def _keys_by_text(units: list[Unit], flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The distinct keys of each text, those of all texts in one array."""
-    lengths = np.array([len(u.pairs) for u in units], np.int64)
-    pairs = np.concatenate([EMPTY, *[u.pairs for u in units]])
-    starts = np.cumsum(lengths) - lengths
+class Alignment:
+    """Groups and links of all units of a chunk."""
+
+    def __init__(self, tokens: Tokens, names: Vocabularies) -> None:
+        self._tokens, self._names = tokens, names
+        ends_a, ends_b = np.cumsum(names.lengths_a[tokens.a]), np.cumsum(names.lengths_b[tokens.b])
+        at = np.searchsorted(ends_b, ends_a)
+        cut_a = np.flatnonzero(ends_b[at] == ends_a) if len(ends_a) else np.empty(0, np.int64)
+        cut_b = at[cut_a]
+        self._in_a, self._in_b = np.diff(cut_a, prepend=-1), np.diff(cut_b, prepend=-1)
+        unit = np.repeat(np.arange(len(tokens.n_a)), tokens.n_a)[cut_a]
+        self.n_groups = np.bincount(unit, minlength=len(tokens.n_a))
+        links = self._in_a * self._in_b
+        self.n_links = np.bincount(unit, links, minlength=len(tokens.n_a)).astype(np.int64)
+        group = np.repeat(np.arange(len(links)), links)
+        k = np.arange(len(group)) - np.repeat(np.cumsum(links) - links, links)
+        first_a, first_b = cut_a + 1 - self._in_a, cut_b + 1 - self._in_b
+        i, j = first_a[group] + k // self._in_b[group], first_b[group] + k % self._in_b[group]
+        #: One key for every link, unit by unit.
+        self.pairs = tokens.a[i].astype(np.uint64) << np.uint64(32) | tokens.b[j].astype(np.uint64)
+
+    def texts(self) -> list[str]:
+        """``a1,a2|b1;a3|b2,b3`` of each unit."""
+        a, n_a, b, n_b = self._tokens
+        starts_a, starts_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
+        starts_a[np.cumsum(self._in_a) - self._in_a] = True
+        starts_b[np.cumsum(self._in_b) - self._in_b] = True
+        opens = np.zeros(len(a), bool)
+        opens[(np.cumsum(n_a) - n_a)[n_a > 0]] = True
+        out = np.empty(len(a) + len(b), object)
+        before_b = np.cumsum(self._in_b) - self._in_b
+        ids = self._names.ids
+        mark = np.where(opens, 0, np.where(starts_a, 1, 2))
+        out[np.arange(len(a)) + np.repeat(before_b, self._in_a)] = self._names.texts[mark * ids + a]
+        mark = np.where(starts_b, 3, 2)
+        out[np.arange(len(b)) + np.repeat(np.cumsum(self._in_a), self._in_b)] = self._names.texts[mark * ids + b]
+        parts, ends = out.tolist(), np.cumsum(n_a + n_b).tolist()
+        return ["".join(parts[start:end]) for start, end in zip([0, *ends], ends)]
+
+
+def _units(texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct units, the units of all texts in turn as indices into them, and how many each text has."""
+    rows = [text.split(" ") if text and plain(text) else [text] if text else [] for text in texts]
+    index = {word: k for k, word in enumerate(dict.fromkeys(chain.from_iterable(rows)))}
+    sizes = np.array(list(map(len, rows)), np.int64)
+    flat = np.fromiter(map(index.__getitem__, chain.from_iterable(rows)), np.int64, sizes.sum())
+    return list(index), flat, sizes
+
+
+def _distinct_pairs(aligned: Alignment, flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, and how many texts have each."""
+    lengths = aligned.n_links
+    if not len(aligned.pairs):
+        return EMPTY, np.empty(0, np.int64)
+    keys, number = np.unique(aligned.pairs, return_inverse=True)
     text = np.repeat(np.arange(len(sizes)), sizes)
-    seen = np.unique(text * np.int64(max(len(units), 1)) + flat)
-    text, unit = np.divmod(seen, max(len(units), 1))
-    names, number = np.unique(pairs, return_inverse=True)
-    number = number[_expanded(starts[unit], lengths[unit])]
-    both = np.unique(np.repeat(text, lengths[unit]) * np.int64(max(len(names), 1)) + number)
-    return names[both % max(len(names), 1)]
+    text, unit = np.divmod(np.unique(text * np.int64(len(lengths)) + flat), len(lengths))
+    pairs = number[_expanded((np.cumsum(lengths) - lengths)[unit], lengths[unit])]
+    both = np.unique(np.repeat(text, lengths[unit]) * np.int64(len(keys)) + pairs)
+    return keys, np.bincount(both % len(keys), minlength=len(keys))
 
 
 def _bucket_of(keys: np.ndarray) -> np.ndarray:
@@ -211,10 +257,10 @@ def _united(table: pa.Table) -> np.ndarray:
 
 
 def pair_tables(lists: DataFrame, count: int) -> DataFrame:
-    """(bucket, sizes, bits, keys, counts, highest) from the parcels' lists (bucket, parcel, keys, docs).
+    """(bucket, sizes, bits, keys, counts, highest) from the chunks' lists (bucket, parcel, keys, docs).
 
     ``keys``, ``counts`` and ``highest`` (the highest count of the key's A id) stand in the order of
-    the perfect hash given by ``sizes`` and ``bits``.  ``count`` is the number of parcels.
+    the perfect hash given by ``sizes`` and ``bits``.  ``parcel`` numbers the chunks from 0, ``count`` is their number.
     """
 
     def union(table: pa.Table) -> pa.Table:
@@ -283,7 +329,7 @@ def _verified(function: PerfectHash, kept: np.ndarray, keys: np.ndarray) -> np.n
 
 
 def _by_nodes(lists: DataFrame, tables: DataFrame, count: int):
-    """Lists in groups of ``FAN`` parcels, and the bucket's table for each group."""
+    """Lists in groups of ``FAN`` chunks, and the bucket's table for each group."""
     nodes = F.floor(F.col("parcel") / FAN).cast("int")
     left = lists.withColumn("node", nodes).groupBy("bucket", "node")
     last = F.lit((count - 1) // FAN)
@@ -293,98 +339,142 @@ def _by_nodes(lists: DataFrame, tables: DataFrame, count: int):
     return left, right.groupBy("bucket", "node")
 
 
+_CHUNK = "chunk long, doc_ids array<long>, a binary, n_a binary, b binary, n_b binary, units binary, sizes binary"
+_LISTS = "lists array<struct<bucket: int, keys: binary, docs: binary>>"
+
+
+def _chunk(number: int, names: list, texts: list[str | None], known: Vocabularies) -> pa.RecordBatch:
+    units, flat, sizes = _units(texts)
+    tokens = known.encode(units)
+    # A text with a unit without tokens has none.
+    void = _sums((tokens.n_a == 0)[flat], sizes) > 0
+    flat, sizes = flat[~np.repeat(void, sizes)], np.where(void, 0, sizes)
+    keys, docs = _distinct_pairs(Alignment(tokens, known), flat, sizes)
+    docs, keys = docs[docs > 0], keys[docs > 0]
+    bucket = _bucket_of(keys)
+    order = np.argsort(bucket, kind="stable")
+    keys, docs, bucket = keys[order], docs[order].astype(np.int64), bucket[order]
+    used, starts = np.unique(bucket, return_index=True)
+    lists = [
+        {"bucket": k, "keys": keys[i:j].tobytes(), "docs": docs[i:j].tobytes()}
+        for k, i, j in zip(used.tolist(), starts, np.append(starts, len(keys))[1:], strict=True)
+    ]
+    packed = {
+        "a": tokens.a.astype(np.uint16 if known.ids <= 1 << 16 else np.int64), "n_a": tokens.n_a.astype(np.int32),
+        "b": tokens.b.astype(np.uint16 if known.ids <= 1 << 16 else np.int64), "n_b": tokens.n_b.astype(np.int32),
+        "units": flat.astype(np.int32), "sizes": sizes.astype(np.int32),
+    }
+    struct = pa.struct([("bucket", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary())])
+    return pa.RecordBatch.from_pydict(
+        {"chunk": pa.array([number], pa.int64()), "doc_ids": pa.array([names], pa.list_(pa.int64()))}
+        | {name: pa.array([values.tobytes()], pa.binary()) for name, values in packed.items()}
+        | {"lists": pa.array([lists], pa.list_(struct))}
+    )
+
+
 def align(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", paths: tuple[str, str] | None = None
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    paths: tuple[str, str, str] | None = None,
+    with_groups: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """The aligned documents, and the tables of all pairs.
 
     Documents: doc_id, n_a, n_b, n_groups, n_links, n_best (links whose count is their A id's highest), count_sum (over links),
-    groups (``a1,a2|b1;a3|b2,b3``).  For the tables see ``pair_tables``; ``pair_counts`` gives them as rows.
+    groups (``a1,a2|b1;a3|b2,b3``, where wanted) and groups_sha256.  For the tables see ``pair_tables``; ``pair_counts`` gives them as rows.
     """
     paths = paths or vocabulary_paths()
-    rows, _ = parcels(docs, doc_id, text)
-    rows = rows.select("parcel", "row", F.col("doc_id").cast("long").alias("doc_id"), "text")
-
-    def listed(table: pa.Table) -> pa.Table:
-        found = aligner(paths).units(table["text"].to_pylist())
-        keys, docs_with = np.unique(_keys_by_text(*found), return_counts=True)
-        bucket = _bucket_of(keys)
-        order = np.argsort(bucket, kind="stable")
-        keys, docs_with, bucket = keys[order], docs_with[order].astype(np.int64), bucket[order]
-        used, starts = np.unique(bucket, return_index=True)
-        ends = np.append(starts[1:], len(keys))
-        return pa.table({
-            "bucket": pa.array(used, pa.int32()),
-            "parcel": pa.array(np.full(len(used), table["parcel"][0].as_py()), pa.int32()),
-            "keys": pa.array([keys[i:j].tobytes() for i, j in zip(starts, ends, strict=True)], pa.binary()),
-            "docs": pa.array([docs_with[i:j].tobytes() for i, j in zip(starts, ends, strict=True)], pa.binary()),
-        })
 
-    lists = rows.groupBy("parcel").applyInArrow(listed, "bucket int, parcel int, keys binary, docs binary")
+    def chunked(batches):
+        known = vocabularies(paths)
+        number = TaskContext.get().partitionId() << 32
+        names, texts, chars = [], [], 0
+        for batch in batches:
+            for name, body in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
+                names.append(name)
+                texts.append(body.as_py())
+                chars += len(texts[-1] or "")
+                if chars >= CHUNK_CHARS:
+                    yield _chunk(number, names, texts, known)
+                    number, names, texts, chars = number + 1, [], [], 0
+        if names:
+            yield _chunk(number, names, texts, known)
+
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    chunks = materialize(rows.mapInArrow(chunked, f"{_CHUNK}, {_LISTS}"), "chunks")
+    # Chunks in the order of their numbers, from 0, so that neighbours meet in a node.
+    per_task = chunks.groupBy(F.shiftright("chunk", 32).alias("task")).agg(F.count("*").alias("k"))
+    before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    places = per_task.select("task", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("first"), "k")
+    places = materialize(places, "places")
+    count = places.agg(F.sum("k")).first()[0] or 1
+    listed = chunks.select(F.shiftright("chunk", 32).alias("task"), "chunk", F.explode("lists").alias("list"))
+    lists = listed.join(places, "task").select(
+        "list.*", "chunk", (F.col("first") + F.col("chunk").bitwiseAND((1 << 32) - 1)).cast("int").alias("parcel")
+    )
     lists = materialize(lists, "pairs")
-    count = (lists.agg(F.max("parcel")).first()[0] or 0) + 1
     tables = pair_tables(lists, count)
 
     def answered(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        columns = {"parcel": [], "keys": [], "counts": [], "best": []}
+        columns = {"chunk": [], "keys": [], "counts": [], "best": []}
         if len(left):
             function = PerfectHash(right["sizes"][0].as_py(), right["bits"][0].as_py())
             kept, counts, highest = (_array(right[c][0], k) for c, k in (("keys", np.uint64), ("counts", np.int64), ("highest", np.int64)))
-            for parcel, value in zip(left["parcel"].to_pylist(), left["keys"], strict=True):
+            for chunk, value in zip(left["chunk"].to_pylist(), left["keys"], strict=True):
                 keys = _array(value, np.uint64)
                 at = _verified(function, kept, keys)
-                columns["parcel"].append(parcel)
+                columns["chunk"].append(chunk)
                 columns["keys"].append(keys.tobytes())
                 columns["counts"].append(counts[at].tobytes())
                 columns["best"].append((counts[at] == highest[at]).tobytes())
-        kinds = {"parcel": pa.int32(), "keys": pa.binary(), "counts": pa.binary(), "best": pa.binary()}
+        kinds = {"chunk": pa.int64(), "keys": pa.binary(), "counts": pa.binary(), "best": pa.binary()}
         return pa.table({name: pa.array(values, kinds[name]) for name, values in columns.items()})
 
     of_nodes, by = _by_nodes(lists, tables, count)
-    answers = of_nodes.cogroup(by).applyInArrow(answered, "parcel int, keys binary, counts binary, best binary")
+    answers = of_nodes.cogroup(by).applyInArrow(answered, "chunk long, keys binary, counts binary, best binary")
 
     def measured(key, table: pa.Table, replies: pa.Table) -> pa.Table:
-        units, flat, sizes = aligner(paths).units(table["text"].to_pylist())
+        known = vocabularies(paths)
+        (row,) = table.to_pylist()
+        kind = np.uint16 if known.ids <= 1 << 16 else np.int64
+        a, b = (np.frombuffer(row[name], kind).astype(np.int64) for name in ("a", "b"))
+        n_a, n_b, flat, sizes = (np.frombuffer(row[name], np.int32).astype(np.int64) for name in ("n_a", "n_b", "units", "sizes"))
+        aligned = Alignment(Tokens(a, n_a, b, n_b), known)
         keys, counts, best = (
             np.concatenate([np.empty(0, kind), *[_array(v, kind) for v in replies[name]]])
             for name, kind in (("keys", np.uint64), ("counts", np.int64), ("best", bool))
         )
         order = np.argsort(keys)
         keys, counts, best = keys[order], counts[order], best[order]
-        used = np.zeros(len(units), bool)
-        used[flat] = True
-        lengths = np.array([len(u.pairs) if k else 0 for u, k in zip(units, used, strict=True)], np.int64)
-        pairs = np.concatenate([EMPTY, *[u.pairs for u, k in zip(units, used, strict=True) if k]])
-        at = np.searchsorted(keys, pairs)
-        ends = np.cumsum(lengths)
-
-        def per_unit(values: np.ndarray) -> np.ndarray:
-            running = np.concatenate([[0], np.cumsum(values)])
-            return running[ends] - running[ends - lengths]
-
-        ends_of = np.cumsum(sizes)
+        # Units of documents without tokens have pairs that were not asked for.
+        at = np.minimum(np.searchsorted(keys, aligned.pairs), max(len(keys) - 1, 0))
+        asked = keys[at] == aligned.pairs if len(keys) else np.zeros(len(aligned.pairs), bool)
+        at = at[asked]
+        sums, tops = np.zeros(len(asked), np.int64), np.zeros(len(asked), np.int64)
+        sums[asked], tops[asked] = counts[at], best[at]
 
         def per_text(values: np.ndarray) -> pa.Array:
-            running = np.concatenate([[0], np.cumsum(values[flat])])
-            return pa.array(running[ends_of] - running[ends_of - sizes], pa.int64())
-
-        names = [u.groups for u in units]
-        texts = [";".join([names[k] for k in flat[e - n : e].tolist()]) for e, n in zip(ends_of, sizes, strict=True)]
-        return pa.table({
-            "doc_id": table["doc_id"],
-            "n_a": per_text(np.array([u.n_a for u in units], np.int64)),
-            "n_b": per_text(np.array([u.n_b for u in units], np.int64)),
-            "n_groups": per_text(np.array([u.n_groups for u in units], np.int64)),
-            "n_links": per_text(lengths),
-            "n_best": per_text(per_unit(best[at].astype(np.int64))),
-            "count_sum": per_text(per_unit(counts[at])),
-            "groups": pa.array(texts, pa.string()),
+            return pa.array(_sums(values[flat], sizes), pa.int64())
+
+        names, ends = aligned.texts(), np.cumsum(sizes)
+        texts = [";".join([names[k] for k in flat[end - n : end].tolist()]) for end, n in zip(ends, sizes, strict=True)]
+        out = pa.table({
+            "doc_id": pa.array(row["doc_ids"], pa.int64()),
+            "n_a": per_text(n_a),
+            "n_b": per_text(n_b),
+            "n_groups": per_text(aligned.n_groups),
+            "n_links": per_text(aligned.n_links),
+            "n_best": per_text(_sums(tops, aligned.n_links)),
+            "count_sum": per_text(_sums(sums, aligned.n_links)),
             "groups_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() if t else "" for t in texts], pa.string()),
         })
+        return out.append_column("groups", pa.array(texts, pa.string())) if with_groups else out
 
-    aligned = rows.groupBy("parcel").cogroup(answers.groupBy("parcel")).applyInArrow(
-        measured,
-        "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string, groups_sha256 string",
+    whole = chunks.drop("lists")
+    schema = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
+    aligned = whole.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+        measured, schema + (", groups string" if with_groups else "")
     )
     return aligned, tables
 

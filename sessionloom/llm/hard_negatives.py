@@ -48,7 +48,11 @@ _ID_LAST = np.iinfo(np.int64).max
 
 
 def _even(matrix: np.ndarray) -> np.ndarray:
-    return np.pad(matrix, [(0, side % 2) for side in matrix.shape])
+    if not any(side % 2 for side in matrix.shape):
+        return matrix
+    out = np.zeros([side + side % 2 for side in matrix.shape], matrix.dtype)
+    out[: len(matrix), : matrix.shape[1]] = matrix
+    return out
 
 
 def strassen(a: np.ndarray, b: np.ndarray) -> np.ndarray:

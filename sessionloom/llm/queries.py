@@ -107,8 +107,7 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    aligned, _ = alignment.align(_table(spark, sf_dir, "documents"))
-    return aligned.drop("groups")
+    return alignment.align(_table(spark, sf_dir, "documents"), with_groups=False)[0]
 
 
 QUERIES: dict[str, Query] = {

@@ -23,7 +23,7 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
-def _plain(text: str) -> bool:
+def plain(text: str) -> bool:
     """Whether all white space is single blanks and line feeds between words."""
     if text[:1] in ("", " ", "\n") or text[-1] in " \n":
         return False
@@ -69,7 +69,7 @@ class Encoder(dict):
 
     def ids(self, text: str) -> bytes:
         """The ids, two little-endian bytes each."""
-        if not _plain(text):
+        if not plain(text):
             return self._encode(text)
         first, *rest = text.replace("\n", " \n").split(" ")
         return b"".join([self["\n" + first][self._newline :], *map(self.__getitem__, rest)])
