@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionloom.functions.labels import AREA_LEVELS, area_level, product_label
@@ -98,15 +99,50 @@ def describe_products(
     )
 
 
+def counted_values(df: DataFrame, group: list[str], value: str) -> DataFrame:
+    """``value, n`` per group: each distinct text with its number of rows, one row each.
+
+    The form to use where a group can have any number of values: counts combine on the map side
+    and nothing gathers a group.  Nulls are skipped.
+    """
+    texts = df.select(*group, F.col(value).cast("string").alias("value")).dropna(subset=["value"])
+    return texts.groupBy(*group, "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _concat_items(items: Column) -> Column:
+    return F.array_join(F.transform(F.array_sort(items), lambda p: F.concat_ws(":", p["value"], p["n"])), ",")
+
+
 def counted_concat(df: DataFrame, group: list[str], value: str, output: str) -> DataFrame:
     """Per group, each distinct text of ``value`` with its count, as ``text:count`` items
-    joined by commas in text order.  Nulls are skipped.
+    joined by commas in text order.  Nulls are skipped; a group of nulls has an empty text.
 
-    Counting comes first and combines on the map side; the list holds distinct texts only.
+    For values of a bounded table, such as cities: the text of a group is one value, and so is the
+    list of its distinct texts.  For others see ``counted_concat_parts``.
     """
-    counts = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_count"))
-    pair = F.when(F.col(value).isNotNull(), F.struct(F.col(value).alias("v"), F.col("_count").alias("c")))
-    items = F.transform(
-        F.array_sort(F.collect_list(pair)), lambda p: F.concat_ws(":", p["v"], p["c"].cast("string"))
+    counts = counted_values(df, group, value)
+    texts = counts.groupBy(*group).agg(_concat_items(F.collect_list(F.struct("value", "n"))).alias(output))
+    void = df.where(F.col(value).isNull()).select(*group).distinct()
+    empty = void.select(*group, F.lit("").alias(output))
+    return texts.unionByName(empty).groupBy(*group).agg(F.max(output).alias(output))
+
+
+def counted_concat_parts(
+    df: DataFrame, group: list[str], value: str, output: str, items_per_row: int = 10_000
+) -> DataFrame:
+    """As ``counted_concat``, in rows ``part`` from 0 that hold about ``items_per_row`` items each.
+
+    Items are dealt to the parts of their group by a digest of the text and stand in text order
+    inside a part, so no list grows with the group.
+    """
+    counts = counted_values(df, group, value).withColumn(
+        "_digest", F.conv(F.substring(F.md5("value"), 1, 8), 16, 10).cast("bigint")
+    )
+    sizes = counts.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / items_per_row).alias("_parts"))
+    # Null groups are groups, as in GROUP BY.
+    same = reduce(Column.__and__, [F.col(f"c.{g}").eqNullSafe(F.col(f"s.{g}")) for g in group])
+    dealt = counts.alias("c").join(sizes.alias("s"), same).select(
+        *[F.col(f"c.{g}").alias(g) for g in group], "value", "n", (F.col("_digest") % F.col("_parts")).alias("part")
     )
-    return counts.groupBy(*group).agg(F.array_join(items, ",").alias(output))
+    items = F.collect_list(F.struct("value", "n"))
+    return dealt.groupBy(*group, "part").agg(_concat_items(items).alias(output))

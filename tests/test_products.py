@@ -4,6 +4,7 @@ from collections import Counter
 
 from data import CITIES, action, actions, cities, rows
 from sessionloom import schemas
+from sessionloom.functions.sql import register_counted_values, register_sql_functions
 from sessionloom.operators import products
 from sessionloom.plans.products import area_top10_products
 
@@ -79,6 +80,29 @@ def test_counted_concat(spark):
     assert rows(products.counted_concat(frame, ["k"], "v", "o")) == [("g", "a:1,b:2"), ("h", "")]
 
 
+def test_counted_values_and_parts(spark):
+    pairs = [("g", "b"), ("g", "a"), ("g", "b"), ("g", None), ("h", None), (None, "x"), (None, "x")]
+    pairs += [("big", f"v{k:03}") for k in range(100)]
+    frame = spark.createDataFrame(pairs, "k string, v string")
+    long = {tuple(r) for r in products.counted_values(frame, ["k"], "v").collect() if r["k"] != "big"}
+    assert long == {(None, "x", 2), ("g", "a", 1), ("g", "b", 2)}
+    parts = {tuple(r) for r in products.counted_concat_parts(frame, ["k"], "v", "o", items_per_row=10).collect()}
+    assert {r for r in parts if r[0] != "big"} == {(None, 0, "x:2"), ("g", 0, "a:1,b:2")}
+    texts = [r[2].split(",") for r in parts if r[0] == "big"]
+    assert len(texts) == 10 and all(t == sorted(t) and len(t) < 30 for t in texts)
+    assert sorted(i for t in texts for i in t) == [f"v{k:03}:1" for k in range(100)]
+
+
+def test_counted_values_from_sql(spark):
+    spark.createDataFrame([("g", "b"), ("g", "a"), ("g", "b"), ("g", None), (None, "x")], "k string, v string").createOrReplaceTempView("pairs")
+    register_sql_functions(spark)
+    register_counted_values(spark, "pair_counts", "pairs", {"k": "STRING"}, "v")
+    found = spark.sql("SELECT k, concat_distinct_str(collect_list(struct(value, n))) AS o FROM pair_counts() GROUP BY k")
+    assert {tuple(r) for r in found.collect()} == {(None, "x:1"), ("g", "a:1,b:2")}
+    # Counting combines before the shuffle.
+    assert "partial_count" in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_plan_counts_before_it_joins_cities(spark, tmp_path):
     actions(spark, action(click_product_id="1")).write.parquet(str(tmp_path / "log"))
     log = spark.read.parquet(str(tmp_path / "log")).select("click_product_id", "city_id")

@@ -207,6 +207,11 @@ def _category_listing(flag: int, name: str) -> str:
     )
 
 
+PRODUCT_SESSIONS = """,
+counted AS (
+  SELECT click_product_id, session_id AS value, count(*) AS n
+  FROM user_visit_action WHERE click_product_id <> '' GROUP BY ALL)"""
+
 AD_CLICKS = """,
 ad_click AS (
   SELECT make_timestamp(CAST(p[1] AS BIGINT) * 1000) AS ts, p[2] AS province, p[3] AS city,
@@ -442,6 +447,28 @@ def all_oracles() -> dict[str, str]:
                GROUP BY date""",
             actions,
         ),
+        "counted_values": with_views(PRODUCT_SESSIONS + " SELECT * FROM counted", actions),
+        "counted_concat_parts": with_views(
+            PRODUCT_SESSIONS + """,
+            dealt AS (
+              SELECT *, CAST(concat('0x', substr(md5(value), 1, 8)) AS BIGINT)
+                % CAST(ceil(count(*) OVER (PARTITION BY click_product_id) / 3.0) AS BIGINT) AS part
+              FROM counted)
+            SELECT click_product_id, part, string_agg(concat(value, ':', n), ',' ORDER BY value) AS sessions
+            FROM dealt GROUP BY ALL""",
+            actions,
+        ),
+        "area_product_clicks_sql": with_views(
+            CLICKS + """,
+            counted AS (
+              SELECT area, click_product_id, concat(k.city_id, ':', city_name) AS value, count(*) AS n
+              FROM clicks k JOIN city_info i ON k.city_id = i.city_id GROUP BY ALL)
+            SELECT area, click_product_id, CAST(sum(n) AS BIGINT) AS click_count,
+              string_agg(concat(value, ':', n), ',' ORDER BY value) AS city_infos
+            FROM counted GROUP BY area, click_product_id""",
+            actions,
+            "city_info",
+        ),
         "scalar_functions": with_views(SCALARS, actions),
         "ad_click_parse": with_views(AD_CLICKS + " SELECT * FROM ad_click", "ad_message"),
         "ad_click_counts": with_views(AD_CLICKS + AD_COUNTS, "ad_message"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionloom.functions import labels, numbers, records, text, times
-from sessionloom.functions.sql import register_sql_functions
+from sessionloom.functions.sql import register_counted_values, register_sql_functions
 from sessionloom.operators import categories, filters, products, sampling, sessions
 from sessionloom.plans import products as product_job
 from sessionloom.sinks import files as file_sinks
@@ -389,6 +389,40 @@ def counted_concat(t: Tables, spark: SparkSession, sf_dir: str) -> DataFrame:
     return products.counted_concat(searches, ["date"], "search_keyword", "keywords")
 
 
+@query
+def counted_values(t: Tables, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of each product's clicks as rows, however many a product has."""
+    clicks = t.user_visit_action.where(text.is_real_id("click_product_id"))
+    return products.counted_values(clicks, ["click_product_id"], "session_id")
+
+
+@query
+def counted_concat_parts(t: Tables, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as texts of bounded length."""
+    clicks = t.user_visit_action.where(text.is_real_id("click_product_id"))
+    return products.counted_concat_parts(clicks, ["click_product_id"], "session_id", "sessions", items_per_row=3)
+
+
+@query
+def area_product_clicks_sql(t: Tables, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks per area and product with their cities, as SQL text."""
+    register_sql_functions(spark)
+    clicks = filters.filter_clicks(t.user_visit_action, t.user_info, {})
+    register_views({"tmp_basic_product_city_info": products.product_city_clicks(clicks, t.city_info)})
+    register_counted_values(
+        spark, "product_city_counts", "tmp_basic_product_city_info",
+        {"area": "STRING", "click_product_id": "STRING"}, "concat_id_name(city_id, city_name)",
+    )
+    return spark.sql(
+        """
+        SELECT area, click_product_id, sum(n) AS click_count,
+          concat_distinct_str(collect_list(struct(value, n))) AS city_infos
+        FROM product_city_counts()
+        GROUP BY area, click_product_id
+        """
+    )
+
+
 # ---- functions -----------------------------------------------------------------------
 
 
