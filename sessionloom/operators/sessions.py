@@ -44,22 +44,24 @@ def session_lengths(actions: DataFrame) -> DataFrame:
     )
 
 
-def session_hours(actions: DataFrame) -> DataFrame:
-    """One row per part of a session inside one hour: ``session_id, day, hour, n, last, first``.
+def session_hours(actions: DataFrame, *by: str) -> DataFrame:
+    """One row per part of a session inside one hour: ``session_id, day, hour, n, last, first``,
+    and for each value of the columns ``by``, where some are given.
 
     Everything per hour, and the sampling, starts here.  Grouping is by date and integer;
     the day becomes text only afterwards.  ``last`` stands before ``first`` as in their
     difference, so a branch that takes lengths only and one that takes the times are the
     same aggregation to the optimizer and share its shuffle.
     """
+    times = actions.select("session_id", required_time("action_time").alias("ts"), *by)
+    keys = ["session_id", F.to_date("ts").alias("_day"), F.hour("ts").alias("hour"), *by]
     return (
-        actions.select("session_id", required_time("action_time").alias("ts"))
-        .select("session_id", F.to_date("ts").alias("date"), F.hour("ts").alias("hour"), "ts")
-        .groupBy("session_id", "date", "hour")
+        times.select(*keys, "ts")
+        .groupBy("session_id", "_day", "hour", *by)
         .agg(
             F.count(F.lit(1)).alias("n"), F.max("ts").alias("last"), F.min("ts").alias("first")
         )
-        .select("session_id", F.col("date").cast("string").alias("day"), "hour", "n", "last", "first")
+        .select("session_id", F.col("_day").cast("string").alias("day"), "hour", "n", "last", "first", *by)
     )
 
 
@@ -120,12 +122,16 @@ def _listing(condition: Column, *fields: Column) -> Column:
 
 
 def session_statistics(actions: DataFrame) -> DataFrame:
-    """All session figures of a request as one JSON text in one row, ``result_json``.
+    """All session figures of a request as one JSON text in one row, ``result_json``."""
+    return statistics_of(session_hours(actions))
+
+
+def statistics_of(parts: DataFrame) -> DataFrame:
+    """``session_statistics`` from ``session_hours``, which may have been kept.
 
     Both halves read the same session-hour shuffle.  What reaches the single final row is
     already small: seven length levels and one row per hour of the period.
     """
-    parts = session_hours(actions)
     levels = (
         parts.groupBy("session_id")
         .agg(F.min("first").alias("first"), F.max("last").alias("last"))
@@ -202,16 +208,25 @@ def session_ratios(actions: DataFrame) -> DataFrame:
     The bucket names are given; how they are filled is our own definition.  Sessions under
     a second fall in no length bucket.  Without sessions every ratio is null.
     """
-    sessions = (
-        actions.select("session_id", required_time("action_time").alias("ts"))
-        .groupBy("session_id")
-        .agg(
-            F.min("ts").alias("first"),
-            F.max("ts").alias("last"),
-            F.count(F.lit(1)).alias("steps"),
+    times = actions.select("session_id", required_time("action_time").alias("ts"))
+    return _shares(
+        times.groupBy("session_id").agg(
+            F.min("ts").alias("first"), F.max("ts").alias("last"), F.count(F.lit(1)).alias("steps")
         )
-        .select(_length_ms("first", "last").alias("length_ms"), "steps")
     )
+
+
+def ratios_of(parts: DataFrame) -> DataFrame:
+    """``session_ratios`` from ``session_hours``, which may have been kept."""
+    return _shares(
+        parts.groupBy("session_id").agg(
+            F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("steps")
+        )
+    )
+
+
+def _shares(sessions: DataFrame) -> DataFrame:
+    sessions = sessions.select(_length_ms("first", "last").alias("length_ms"), "steps")
     buckets = {}
     for name, low, high in VISIT_LENGTH_BUCKETS:
         upper = "" if high is None else f" AND length_ms < {high}"

@@ -65,6 +65,10 @@ def run_session_job(
     the small results (sample, rankings), whose real size then decides how they are joined.
     So are the users that a filter leaves, which then spare the log its shuffle where they are few,
     and the documents, as the few connections of the sink would narrow their last stage.
+
+    The log is passed over five times: for its session-hours, which hold all that statistics and
+    sampling need, for the operations of its sessions, which hold both rankings, and once for
+    the records of each of the three detail outputs.
     """
     params = load_task_params(spark, url, task_id, properties)
     filters.refuse_unused(params, extended)
@@ -76,10 +80,11 @@ def run_session_job(
         if users is not None:
             actions = materialize(actions, "actions")
 
-        jdbc.append_statistics(sessions.session_statistics(actions), task_id, url, properties)
+        parts = materialize(sessions.session_hours(actions), "session-hours")
+        jdbc.append_statistics(sessions.statistics_of(parts), task_id, url, properties)
 
         ratio, kind = P.sample_ratio(params), P.sample_type(params)
-        sample = materialize(sampling.sample_sessions(actions, ratio, kind, seed), "sample")
+        sample = materialize(sampling.sample_of(parts, ratio, kind, seed), "sample")
         files.write_sample_records(
             sampling.sampled_records(actions, sample), f"{output}/session_sample/task_{task_id}"
         )
@@ -89,11 +94,12 @@ def run_session_job(
         )
         jdbc.append_sample_sessions(documents, task_id, url, properties)
 
-        counts = categories.category_op_counts(actions)
+        session_ops = materialize(categories.category_session_ops(actions), "session-ops")
+        counts = categories.op_counts_of(session_ops)
         top_categories = materialize(categories.top_categories(counts), "top-categories")
         jdbc.append_top_categories(top_categories, task_id, url, properties)
 
-        session_counts = categories.category_session_counts(actions, top_categories)
+        session_counts = categories.session_counts_of(session_ops, top_categories)
         top_sessions = materialize(
             categories.category_top_sessions(session_counts), "top-sessions"
         )

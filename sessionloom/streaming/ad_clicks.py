@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sessionloom.workspace import children, exists
+
 WINDOW = "1 minute"
 LATENESS = "1 minute"
 
@@ -149,25 +151,15 @@ class AdClickTable:
 
     # -- reading --
 
-    def _folder(self, path: str):
-        """Hadoop's file system and path of a folder under the table."""
-        context = self._spark.sparkContext
-        place = context._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{path}")
-        return place.getFileSystem(context._jsc.hadoopConfiguration()), place
-
     def _read(self, path: str, schema: str) -> DataFrame:
-        files, place = self._folder(path)
-        if not files.exists(place):
+        if not exists(self._spark, f"{self.path}/{path}"):
             return self._spark.createDataFrame([], schema)
         return self._spark.read.schema(schema).parquet(f"{self.path}/{path}")
 
     def _last_snapshot(self) -> int:
         """The last batch in the newest finished snapshot, -1 without any."""
-        files, place = self._folder("counts/snapshots")
-        if not files.exists(place):
-            return -1
-        folders = [status.getPath() for status in files.listStatus(place)]
-        done = [f.getName() for f in folders if files.exists(self._folder(f"counts/snapshots/{f.getName()}/_SUCCESS")[1])]
+        folder = f"{self.path}/counts/snapshots"
+        done = [name for name in children(self._spark, folder) if exists(self._spark, f"{folder}/{name}/_SUCCESS")]
         return max((int(name.partition("=")[2]) for name in done), default=-1)
 
     def _sums(self, upto: int | None = None) -> DataFrame:

@@ -30,6 +30,32 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder
 
 
+def _files(spark: SparkSession, path: str):
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in whatever store Spark reads the path from."""
+    files, place = _files(spark, path)
+    return files.exists(place)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none where there is no folder."""
+    files, place = _files(spark, path)
+    return [status.getPath().getName() for status in files.listStatus(place)] if files.exists(place) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete one of this library's own intermediate tables."""
+    if "sessionloom" not in path:
+        raise ValueError(f"not an intermediate table: {path}")
+    files, place = _files(spark, path)
+    files.delete(place, True)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
@@ -50,16 +76,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 @contextmanager
 def temporary_tables(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
-    """Yields a ``materialize`` whose tables are emptied at the end, also after a failure."""
-    tables = {}
+    """Yields a ``materialize`` whose tables are removed at the end, also after a failure."""
+    paths = []
 
     def keep(df: DataFrame, label: str) -> DataFrame:
-        path = fresh_path(spark, label)
-        tables[path] = df.schema
-        return _write_and_read(df, path)
+        paths.append(fresh_path(spark, label))
+        return _write_and_read(df, paths[-1])
 
     try:
         yield keep
     finally:
-        for path, schema in tables.items():
-            spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+        for path in paths:
+            remove(spark, path)

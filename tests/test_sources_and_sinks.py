@@ -10,7 +10,7 @@ from sessionloom.sinks import jdbc as jdbc_sinks
 from sessionloom.sources import files as file_sources
 from sessionloom.sources import jdbc as jdbc_sources
 from sessionloom.sources import tables
-from sessionloom.workspace import fresh_path, materialize, shared_folder, temporary_tables
+from sessionloom.workspace import exists, fresh_path, materialize, shared_folder, temporary_tables
 
 
 @pytest.fixture
@@ -123,6 +123,47 @@ def test_appends_add_up(spark, url):
     ]
 
 
+def results(spark, url, table):
+    return rows(jdbc_sources.lower_case_columns(jdbc_sources.read_jdbc(spark, url, table)))
+
+
+def categories_of(spark, *rows):
+    return spark.createDataFrame(list(rows), "category_id string, click_count long, order_count long, pay_count long")
+
+
+def test_a_task_written_again_replaces_its_rows(spark, url):
+    first = categories_of(spark, ("1", 5, 0, 0), ("2", 4, 1, 0), ("2", 4, 1, 0))
+    jdbc_sinks.append_top_categories(first, 7, url)
+    jdbc_sinks.append_top_categories(categories_of(spark, ("9", 1, 1, 1)), 8, url)
+    jdbc_sinks.append_top_categories(first, 7, url)
+    expected = [(7, "1", 5, 0, 0), (7, "2", 4, 1, 0), (7, "2", 4, 1, 0), (8, "9", 1, 1, 1)]
+    assert results(spark, url, jdbc_sinks.TOP_CATEGORY_TABLE) == expected
+    jdbc_sinks.append_top_categories(first.limit(0), 7, url)
+    assert results(spark, url, jdbc_sinks.TOP_CATEGORY_TABLE) == expected[3:]
+
+
+def test_a_repeated_task_counts_once_and_a_failed_job_changes_nothing(spark, url, monkeypatch):
+    jdbc_sinks.append_statistics(spark.createDataFrame([("old",)], "result_json string"), 7, url)
+    append, fail = jdbc_sinks.append_jdbc, []
+
+    def twice(df, url, table, *options):
+        append(df, url, table, *options)
+        if table != jdbc_sinks.STATISTICS_TABLE:  # the staging table: its tasks are run again after their commit
+            append(df, url, table, *options)
+            if fail:
+                raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(jdbc_sinks, "append_jdbc", twice)
+    fail.append(True)
+    new = spark.createDataFrame([("new",)], "result_json string")
+    with pytest.raises(RuntimeError):
+        jdbc_sinks.append_statistics(new, 7, url)
+    assert results(spark, url, jdbc_sinks.STATISTICS_TABLE) == [(7, "old")]
+    fail.clear()
+    jdbc_sinks.append_statistics(new, 7, url)
+    assert results(spark, url, jdbc_sinks.STATISTICS_TABLE) == [(7, "new")]
+
+
 def test_workspace(spark, tmp_path):
     frame = spark.createDataFrame([(1, "a")], "a int, b string")
     assert rows(materialize(frame, "small")) == [(1, "a")]
@@ -131,13 +172,13 @@ def test_workspace(spark, tmp_path):
     assert empty.columns == ["a", "b"] and empty.count() == 0
 
 
-def test_temporary_tables_are_emptied(spark):
+def test_temporary_tables_are_removed(spark):
     with pytest.raises(RuntimeError), temporary_tables(spark) as keep:
         kept = keep(spark.range(5).toDF("id"), "five")
         assert kept.count() == 5
         path = kept.inputFiles()[0].rsplit("/", 1)[0]
         raise RuntimeError
-    assert spark.read.schema("id bigint").parquet(path).count() == 0
+    assert not exists(spark, path)
 
 
 def test_shared_folder():

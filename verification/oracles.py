@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from sessionloom.schemas import USER_VISIT_ACTION
 from verification.fixtures import with_views
+from verification.queries import FILTER as PARAMETERS
 from verification.queries import RATIO, TASK_ID
 
 ACTIONS = "user_visit_action"
@@ -361,6 +362,15 @@ def all_oracles() -> dict[str, str]:
         "session_ratio_stats": with_views(
             LENGTHS + f" SELECT count(*) AS session_count, {_ratios()} FROM lengths", actions
         ),
+        "sink_statistics_jdbc": with_views(PARTS + LENGTHS + STATISTICS, actions),
+        "session_aggr_json_daily": with_views(PARTS + LENGTHS + STATISTICS, actions),
+        "session_ratio_stats_daily": with_views(
+            LENGTHS.replace(
+                "FROM user_visit_action",
+                f"FROM user_visit_action WHERE date BETWEEN '{PARAMETERS["startDate"]}' AND '{PARAMETERS["endDate"]}'",
+            ) + f" SELECT count(*) AS session_count, {_ratios()} FROM lengths",
+            actions,
+        ),
         "sample_quota": with_views(
             PARTS + f"""
             SELECT day, hour, count(*) AS session_count,
@@ -419,6 +429,13 @@ def all_oracles() -> dict[str, str]:
             FROM top_sessions GROUP BY category_id""",
             actions,
         ),
+        "sink_category_sessions_jdbc": with_views(
+            SESSION_COUNTS + f"""
+            SELECT CAST({TASK_ID} AS BIGINT) AS task_id, category_id, {_category_listing(0, "click")},
+              {_category_listing(1, "order")}, {_category_listing(2, "pay")}
+            FROM top_sessions GROUP BY category_id""",
+            actions,
+        ),
         "top_session_records": with_views(
             SESSION_COUNTS + """
             SELECT * FROM user_visit_action

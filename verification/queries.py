@@ -12,6 +12,7 @@ from sessionloom.functions import labels, numbers, records, text, times
 from sessionloom.functions.sql import register_counted_values, register_sql_functions
 from sessionloom.operators import categories, filters, products, sampling, sessions
 from sessionloom.plans import products as product_job
+from sessionloom.plans.daily import SessionDays
 from sessionloom.sinks import files as file_sinks
 from sessionloom.sinks import jdbc as jdbc_sinks
 from sessionloom.sources import files as file_sources
@@ -149,6 +150,30 @@ def sink_top10_category_jdbc(t: Tables, spark: SparkSession, sf_dir: str) -> Dat
     return jdbc_sources.lower_case_columns(rows).where(F.col("task_id") == TASK_ID)
 
 
+def _written(spark: SparkSession, url: str, table: str) -> DataFrame:
+    rows = jdbc_sources.lower_case_columns(jdbc_sources.read_jdbc(spark, url, table))
+    return rows.where(F.col("task_id") == TASK_ID)
+
+
+@query
+def sink_category_sessions_jdbc(t: Tables, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written twice, as by a job that is run again."""
+    url = _jdbc_url(spark)
+    merged = materialize(categories.merge_category_sessions(_top_sessions(t.user_visit_action)), "merged")
+    for _ in range(2):
+        jdbc_sinks.append_category_sessions(merged, TASK_ID, url)
+    return _written(spark, url, jdbc_sinks.CATEGORY_SESSION_TABLE)
+
+
+@query
+def sink_statistics_jdbc(t: Tables, spark: SparkSession, sf_dir: str) -> DataFrame:
+    url = _jdbc_url(spark)
+    statistics = materialize(sessions.session_statistics(t.user_visit_action), "statistics")
+    for _ in range(2):
+        jdbc_sinks.append_statistics(statistics, TASK_ID, url)
+    return _written(spark, url, jdbc_sinks.STATISTICS_TABLE)
+
+
 @query
 def sink_sample_session_jdbc(t: Tables, spark: SparkSession, sf_dir: str) -> DataFrame:
     url = _jdbc_url(spark)
@@ -251,6 +276,25 @@ def session_ratio_stats(t: Tables, spark: SparkSession, sf_dir: str) -> DataFram
     return sessions.session_ratios(t.user_visit_action)
 
 
+def _kept_days(t: Tables, spark: SparkSession) -> SessionDays:
+    """All days of the log, taken in as three deliveries, the second of them twice."""
+    kept = SessionDays(spark, fresh_path(spark, "session-days"))
+    date = F.col("date")
+    for days in (date < "2024-01-09", date.between("2024-01-09", "2024-01-20"), date >= "2024-01-09"):
+        kept.refresh(t.user_visit_action.where(days))
+    return kept
+
+
+@query
+def session_aggr_json_daily(t: Tables, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jdbc_sinks.for_task(_kept_days(t, spark).statistics({}), TASK_ID)
+
+
+@query
+def session_ratio_stats_daily(t: Tables, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _kept_days(t, spark).ratios({"startDate": FILTER["startDate"], "endDate": FILTER["endDate"]})
+
+
 # ---- sampling ------------------------------------------------------------------------
 
 
