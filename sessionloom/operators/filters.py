@@ -86,6 +86,16 @@ def wanted_users(users: DataFrame, params: dict, extended: bool = False) -> Data
     return _where_all(users, all_user_conditions(params, extended)).select(*columns)
 
 
+def selective(keys: DataFrame, column: str) -> DataFrame:
+    """The same rows but those without a key, which join nothing, in a form that invites a runtime filter.
+
+    Where the other side of a join is a large scan, Spark builds a Bloom filter of these keys and applies it to the
+    scan, before the shuffle; it does so only where the keys come from a comparison, as they do here.
+    """
+    least = F.lit("") if dict(keys.dtypes)[column] == "string" else F.lit(-(1 << 63))
+    return keys.where(F.col(column) >= least)
+
+
 def _where_all(df: DataFrame, conditions: list[Column]) -> DataFrame:
     return df.where(reduce(Column.__and__, conditions)) if conditions else df
 
@@ -104,6 +114,7 @@ def _select_actions(
     if users is None:
         raise ValueError("the parameters filter on users, so the user table is needed")
     wanted = _where_all(users, on_users).select("user_id")
+    wanted = selective(wanted, "user_id")
     return kept.select(*dict.fromkeys([*columns, "user_id"])).join(wanted, "user_id").select(*columns)
 
 

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from sessionloom.functions import labels, numbers, sql, text, times
+from sessionloom.functions import labels, numbers, rules, sql, text, times
 
 
 def evaluate(spark, values, expression, kind="string"):
@@ -168,3 +168,43 @@ def test_only_the_usual_format_is_a_time(spark, text):
 def test_trim_comma_keeps_a_comma_before_a_final_line_feed(spark):
     frame = spark.createDataFrame([("a,\n",), (",a,",)], "t string")
     assert [r[0] for r in frame.select(text.trim_comma("t")).collect()] == ["a,\n", "a"]
+
+
+FIELDS = ["age=30|city=a,b|sex=male", "age=17|city=c", "city=,|sex=", "age=30=1|sex=male==", "", None, "sex=x|sex=male"]
+
+
+def kept(spark, test):
+    frame = spark.createDataFrame([(k, v) for k, v in enumerate(FIELDS)], "k int, v string")
+    return [r["k"] for r in frame.where(test).orderBy("k").collect()]
+
+
+def test_field_rules(spark):
+    asked = "from=18|to=40|cities=b,c,,|sex=male|empty=|odd=1=2|none=,"
+    assert [rules.parameter(asked, n) for n in ("from", "empty", "odd", "missing", "sex")] == ["18", None, None, None, "male"]
+    assert kept(spark, rules.field_between("v", "age", asked, "from", "to")) == [0]
+    assert kept(spark, rules.field_in("v", "city", asked, "cities")) == [0, 1]
+    assert kept(spark, rules.field_equals("v", "sex", asked, "sex")) == [0, 3]
+    # A parameter that is missing passes all, a rule without items none.
+    for test in (
+        rules.field_between("v", "age", asked, "from", "missing"),
+        rules.field_in("v", "city", asked, "empty"),
+        rules.field_equals("v", "sex", asked, "odd"),
+    ):
+        assert kept(spark, test) == list(range(len(FIELDS)))
+    assert kept(spark, rules.field_in("v", "city", asked, "none")) == []
+
+
+def test_rules_are_compiled_together(spark):
+    every = [("between", "age", "from", "to"), ("in", "city", "cities"), ("equal", "sex", "sex")]
+    assert kept(spark, rules.compile_rules("v", "from=10|to=40|cities=a,b,c", every)) == [0, 1]
+    assert kept(spark, rules.compile_rules("v", "from=10|to=40|cities=a|sex=male", every)) == [0]
+    assert kept(spark, rules.compile_rules("v", "", every)) == list(range(len(FIELDS)))
+    plan = spark.range(1).select(F.lit("").alias("v")).where(rules.compile_rules("v", "", every))
+    assert "Filter" not in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_bad_bounds_fail(spark):
+    with pytest.raises(ValueError):
+        rules.field_between("v", "age", "from=x|to=3", "from", "to")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        spark.createDataFrame([("age=old",)], "v string").where(rules.field_between("v", "age", "from=1|to=3", "from", "to")).collect()

@@ -323,6 +323,26 @@ def all_oracles() -> dict[str, str]:
         "filter_clicks": with_views(
             FILTERED_CLICKS + " SELECT * FROM clicks", actions, "user_info"
         ),
+        "filter_clicks_extended": with_views(
+            """SELECT a.click_product_id, a.city_id
+               FROM user_visit_action a JOIN user_info u ON a.user_id = u.user_id
+               WHERE u.age BETWEEN 18 AND 45 AND a.click_product_id <> ''
+                 AND a.click_category_id IN ('1', '3', '5', '7', '11', '13', '17', '19', '23', '29', '31',
+                                             '37', '41', '43', '47')""",
+            actions,
+            "user_info",
+        ),
+        "filter_fields": with_views(
+            """SELECT session_id, concat('page=', page_id, '|city=', city_id, '|kw=', search_keyword) AS fields
+               FROM user_visit_action
+               WHERE page_id BETWEEN 10 AND 70 AND city_id IN (1, 3, 5, 7, 9, 11) AND search_keyword = 'kw_3'""",
+            actions,
+        ),
+        "log_table_range": with_views(
+            """SELECT a.* FROM user_visit_action a
+               WHERE date BETWEEN '2024-01-03' AND '2024-01-05'""",
+            actions,
+        ),
         "session_lengths": with_views(
             LENGTHS + " SELECT session_id, length_ms FROM lengths", actions
         ),

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionloom.functions import labels, numbers, records, text, times
+from sessionloom.functions import labels, numbers, records, rules, text, times
 from sessionloom.functions.sql import register_counted_values, register_sql_functions
 from sessionloom.operators import categories, filters, products, sampling, sessions
 from sessionloom.plans import products as product_job
@@ -17,6 +17,7 @@ from sessionloom.sinks import files as file_sinks
 from sessionloom.sinks import jdbc as jdbc_sinks
 from sessionloom.sources import files as file_sources
 from sessionloom.sources import jdbc as jdbc_sources
+from sessionloom.sources import tables
 from sessionloom.sources.tables import read_table, register_views
 from sessionloom.streaming import ad_clicks
 from sessionloom.workspace import fresh_path, materialize
@@ -40,6 +41,8 @@ EXTENDED_FILTER = {
     "keywords": "kw_1,kw_2,kw_3,kw_4",
 }
 
+CLICK_FILTER = {"startAge": "18", "endAge": "45", "categoryIds": "1,3,5,7,11,13,17,19,23,29,31,37,41,43,47"}
+
 _REGISTRY: dict[str, Query] = {}
 
 # Set this to the address of a database all executors reach, to run the JDBC queries on a
@@ -223,6 +226,34 @@ def filter_actions_extended(t: Tables, spark: SparkSession, sf_dir: str) -> Data
     return filters.filter_actions(t.user_visit_action, t.user_info, EXTENDED_FILTER, extended=True)
 
 
+@query
+def filter_clicks_extended(t: Tables, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks in some categories by users of some ages."""
+    return filters.filter_clicks(t.user_visit_action, t.user_info, CLICK_FILTER, extended=True)
+
+
+@query
+def log_table_range(t: Tables, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three days of a catalog table that is partitioned by day and took one of them in twice."""
+    table = _derived_table("action_log")
+    tables.write_log_days(t.user_visit_action, table)
+    tables.write_log_days(t.user_visit_action.where("date = '2024-01-04'"), table)
+    days = {"startDate": "2024-01-03", "endDate": "2024-01-05"}
+    return filters.filter_actions(read_table(spark, table), None, days)
+
+
+@query
+def filter_fields(t: Tables, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules over records in field text."""
+    fields = F.concat_ws("|", F.concat(F.lit("page="), "page_id"), F.concat(F.lit("city="), "city_id"), F.concat(F.lit("kw="), "search_keyword"))
+    records = t.user_visit_action.select("session_id", fields.alias("fields"))
+    wanted = rules.compile_rules(
+        "fields", "low=10|high=70|cities=1,3,5,7,9,11|word=kw_3|other=",
+        [("between", "page", "low", "high"), ("in", "city", "cities"), ("equal", "kw", "word"), ("equal", "page", "other")],
+    )
+    return records.where(wanted)
+
+
 @query
 def filter_clicks(t: Tables, spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.filter_clicks(t.user_visit_action, t.user_info, FILTER)
