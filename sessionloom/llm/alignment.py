@@ -54,7 +54,7 @@ BUCKETS = 256
 #: Lists and vectors that meet in one group.
 FAN = 64
 #: A chunk is closed when its texts have so many characters.
-CHUNK_CHARS = 4 << 20
+CHUNK_CHARS = 2 << 20
 EMPTY = np.empty(0, np.uint64)
 
 
@@ -232,6 +232,17 @@ def _bucket_of(keys: np.ndarray) -> np.ndarray:
     return ((keys >> np.uint64(32)) % np.uint64(BUCKETS)).astype(np.int64)
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 on in as few bytes each as the largest needs; the first byte says how many."""
+    kind = np.min_scalar_type(int(values.max(initial=0)))
+    return bytes([kind.itemsize]) + values.astype(kind).tobytes()
+
+
+def _unpacked(value: bytes | pa.Scalar, kind: type = np.int64) -> np.ndarray:
+    value = value if isinstance(value, bytes) else value.as_py()
+    return np.frombuffer(value, np.dtype(f"<u{value[0]}"), offset=1).astype(kind)
+
+
 def _array(value: bytes | pa.Scalar, kind: type) -> np.ndarray:
     return np.frombuffer(value if isinstance(value, bytes) else value.as_py(), kind)
 
@@ -293,7 +304,7 @@ def pair_tables(lists: DataFrame, count: int) -> DataFrame:
         function = PerfectHash(right["sizes"][0].as_py(), right["bits"][0].as_py())
         kept, counts = _array(right["keys"][0], np.uint64), np.zeros(len(function), np.int64)
         for keys, docs in zip(left["keys"], left["docs"], strict=True):
-            counts[_verified(function, kept, _array(keys, np.uint64))] += _array(docs, np.int64)
+            counts[_verified(function, kept, _array(keys, np.uint64))] += _unpacked(docs)
         return _row(left, counts=pa.array([counts.tobytes()], pa.binary()))
 
     def added(table: pa.Table) -> pa.Table:
@@ -356,18 +367,14 @@ def _chunk(number: int, names: list, texts: list[str | None], known: Vocabularie
     keys, docs, bucket = keys[order], docs[order].astype(np.int64), bucket[order]
     used, starts = np.unique(bucket, return_index=True)
     lists = [
-        {"bucket": k, "keys": keys[i:j].tobytes(), "docs": docs[i:j].tobytes()}
+        {"bucket": k, "keys": keys[i:j].tobytes(), "docs": _packed(docs[i:j])}
         for k, i, j in zip(used.tolist(), starts, np.append(starts, len(keys))[1:], strict=True)
     ]
-    packed = {
-        "a": tokens.a.astype(np.uint16 if known.ids <= 1 << 16 else np.int64), "n_a": tokens.n_a.astype(np.int32),
-        "b": tokens.b.astype(np.uint16 if known.ids <= 1 << 16 else np.int64), "n_b": tokens.n_b.astype(np.int32),
-        "units": flat.astype(np.int32), "sizes": sizes.astype(np.int32),
-    }
+    packed = {"a": tokens.a, "n_a": tokens.n_a, "b": tokens.b, "n_b": tokens.n_b, "units": flat, "sizes": sizes}
     struct = pa.struct([("bucket", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary())])
     return pa.RecordBatch.from_pydict(
         {"chunk": pa.array([number], pa.int64()), "doc_ids": pa.array([names], pa.list_(pa.int64()))}
-        | {name: pa.array([values.tobytes()], pa.binary()) for name, values in packed.items()}
+        | {name: pa.array([_packed(values)], pa.binary()) for name, values in packed.items()}
         | {"lists": pa.array([lists], pa.list_(struct))}
     )
 
@@ -437,9 +444,7 @@ def align(
     def measured(key, table: pa.Table, replies: pa.Table) -> pa.Table:
         known = vocabularies(paths)
         (row,) = table.to_pylist()
-        kind = np.uint16 if known.ids <= 1 << 16 else np.int64
-        a, b = (np.frombuffer(row[name], kind).astype(np.int64) for name in ("a", "b"))
-        n_a, n_b, flat, sizes = (np.frombuffer(row[name], np.int32).astype(np.int64) for name in ("n_a", "n_b", "units", "sizes"))
+        a, n_a, b, n_b, flat, sizes = (_unpacked(row[name]) for name in ("a", "n_a", "b", "n_b", "units", "sizes"))
         aligned = Alignment(Tokens(a, n_a, b, n_b), known)
         keys, counts, best = (
             np.concatenate([np.empty(0, kind), *[_array(v, kind) for v in replies[name]]])

@@ -10,19 +10,20 @@ Method, set-relation skipping:
   its first ``n - need(n) + 1`` (``need(n)`` = least overlap any link of it has), so only these
   are indexed.  A document of which fewer than ``need(n)`` shingles occur elsewhere has no links.
 * Documents with equal sets are one entry of the index, whatever their number.
-* Lists of the index are cut into blocks by set size and skipped by position: of an entry at
-  position p in its set, a partner at position q can overlap in at most
-  ``1 + min(n - p - 1, m - q - 1)`` shingles, and its size must lie in ``[need(n), n / t]``; pairs
-  and whole blocks beyond that are never made.
-* Answers are derived from those of a similar set.  The first set of every list (the leader) is
-  compared with the rest of it; a set linked to a leader joins its cluster and has its links
-  within the cluster from there.  Between clusters only the leaders are compared; Jaccard
-  distance is a metric, so members can only link where the leaders' distance is at most the
-  members' distances to them plus that of a link.  Clusters that the links of
-  leaders connect already are one class and need no more.  What remains is compared one by one.
+* Lists of the index are cut into blocks by set size and skipped by position.  A pair is met in the list of
+  the first shingle that both sets have, in the order of counts; there an entry at position p and a partner at
+  position q can overlap in at most ``min(n - p, m - q)`` shingles, and their sizes must lie within the threshold of each
+  other.  Pairs and whole blocks beyond that are never made.
+* Answers are derived from those of a similar set.  One set of every block of a list (the leader, another in each
+  round) is compared with the rest; sets linked to it take its class, and so the answers
+  of all the class: nothing inside a class is compared any more.  After ``ROUNDS`` rounds, and in lists that
+  still hold several classes, entries of different classes are compared by parity bitmaps: every shingle flips
+  one bit of its set's bitmap, so two bitmaps differ in no more bits than the sets in shingles, and a pair
+  whose bitmaps differ in more than a link allows is none.  What is left is compared whole.
 
 So the copies and near copies of a text are never paired with each other, and every link that
-joins two classes is found.  Shingles are known by 64 bits of a hash.
+joins two classes is found.  A list that many sets share is dealt into slices of ``SLICE`` entries.
+Shingles are known by 64 bits of a hash.
 
 Defined results: null, empty and blank texts have an empty set and are their own class; texts
 shorter than a shingle have one shingle, the whole text; equal rows are linked; rows without id
@@ -47,6 +48,12 @@ from sessionloom.workspace import materialize
 #: The counts only order the index, so a block needs fewer bytes of each shingle.
 WIDTH = 5
 BLOCK_GROWTH = 1.08
+#: Rounds in which leaders are compared.
+ROUNDS = 2
+#: 64-bit words of a parity bitmap.
+BITMAP_WORDS = 16
+#: Entries of a list that meet the whole list in one group.
+SLICE = 4096
 
 
 def shingle_sets(bodies: list[bytes], size: int) -> list[np.ndarray]:
@@ -112,10 +119,21 @@ def _possible(threshold: int) -> Column:
     """Whether entries x and y of one list can be linked, by size and position."""
     n, m = F.col("x.n"), F.col("y.n")
     room = F.least(n - F.col("x.position"), m - F.col("y.position"))
-    before = F.least(F.col("x.position"), F.col("y.position"))
-    # Shared shingles before this one are in both prefixes, so this entry need not be the first.
-    most = room + before
-    return (m * 100 >= n * threshold) & (n * 100 >= m * threshold) & (most * (100 + threshold) >= (n + m) * threshold)
+    # In the list of the first shared shingle nothing before it is shared.
+    return (m * 100 >= n * threshold) & (n * 100 >= m * threshold) & (room * (100 + threshold) >= (n + m) * threshold)
+
+
+def _bitmap(values: np.ndarray) -> np.ndarray:
+    """One bit for each residue: whether an odd number of values has it."""
+    odd = np.bincount((values % np.uint64(64 * BITMAP_WORDS)).astype(np.int64), minlength=64 * BITMAP_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _near_bitmaps(threshold: int) -> Column:
+    """Whether the bitmaps and the numbers of unshared shingles of x and y allow a link."""
+    bits = sum((F.bit_count(F.col("x.bits")[k].bitwiseXOR(F.col("y.bits")[k])) for k in range(BITMAP_WORDS)), F.lit(0))
+    apart = F.col("x.own") + F.col("y.own") + bits
+    return apart * (100 + threshold) <= (F.col("x.n") + F.col("y.n")) * (100 - threshold)
 
 
 def jaccard_classes(
@@ -133,7 +151,7 @@ def jaccard_classes(
 
     def result_of(table: pa.Table, counts: np.ndarray) -> pa.Table:
         sets = shingle_sets(texts_of(table["text"]), size)
-        at, digests, shared, prefixes, positions = 0, [], [], [], []
+        at, digests, shared, prefixes, positions, bitmaps = 0, [], [], [], [], []
         for values in sets:
             n = len(values)
             here = counts[at : at + n]
@@ -141,7 +159,7 @@ def jaccard_classes(
             need = -(-n * threshold // 100)
             elsewhere = here > 1
             if not n or elsewhere.sum() < need:
-                for column in (digests, shared, prefixes, positions):
+                for column in (digests, shared, prefixes, positions, bitmaps):
                     column.append(None)
                 continue
             order = np.lexsort((values, here))[: n - need + 1]
@@ -150,6 +168,7 @@ def jaccard_classes(
             digest = hashlib.blake2b(values.tobytes(), digest_size=16).digest()
             digests.append(digest)
             shared.append(values[elsewhere].tobytes())
+            bitmaps.append(_bitmap(values[elsewhere]).tolist())
             prefixes.append(values[order].view(np.int64).tolist())
             positions.append(list(range(first, first + len(order))))
         return pa.table(
@@ -161,6 +180,7 @@ def jaccard_classes(
                 "shared": pa.array(shared, pa.binary()),
                 "prefix": pa.array(prefixes, pa.list_(pa.int64())),
                 "positions": pa.array(positions, pa.list_(pa.int32())),
+                "bits": pa.array(bitmaps, pa.list_(pa.int64())),
             }
         )
 
@@ -172,7 +192,8 @@ def jaccard_classes(
             buckets,
             values_of,
             result_of,
-            "row long, doc_id long, n int, digest binary, shared binary, prefix array<long>, positions array<int>",
+            "row long, doc_id long, n int, digest binary, shared binary, prefix array<long>, positions array<int>, "
+            "bits array<long>",
         ),
         "shingles",
     )
@@ -182,7 +203,7 @@ def jaccard_classes(
     members = materialize(members, "members")
     first = members.select(F.col("set").alias("row"))
     sets = materialize(
-        found.join(first, "row", "left_semi").select(F.col("row").alias("set"), "n", "shared", "prefix", "positions"),
+        found.join(first, "row", "left_semi").select(F.col("row").alias("set"), "n", "shared", "prefix", "positions", "bits"),
         "sets",
     )
     classes = _classes(sets, threshold)
@@ -208,115 +229,47 @@ def one_of_each_class(docs: DataFrame, **options) -> DataFrame:
 def _classes(sets: DataFrame, threshold: int) -> DataFrame:
     """(node, component) of every set that has a link."""
     linked = F.col("overlap") * (100 + threshold) >= (F.col("n") + F.col("m")) * threshold
-    distance = 1 - F.col("overlap") / (F.col("n") + F.col("m") - F.col("overlap"))
-    entries = sets.select("set", "n", F.explode(F.arrays_zip("prefix", "positions")).alias("e")).select(
-        "set", "n", F.col("e.prefix").alias("shingle"), F.col("e.positions").alias("position")
+    own = F.col("n") - F.octet_length("shared") / 8
+    entries = sets.select("set", "n", own.cast("int").alias("own"), "bits", F.explode(F.arrays_zip("prefix", "positions")).alias("e"))
+    entries = entries.select(
+        "set", "n", "own", "bits", F.col("e.prefix").alias("shingle"), F.col("e.positions").alias("position"), _block(F.col("n")).alias("block")
     )
-
-    # Leaders: of every list the first set of each block of sizes, with the same and the next blocks.
-    blocks = entries.withColumn("block", _block(F.col("n")))
-    leaders = blocks.groupBy("shingle", "block").agg(F.min(F.struct("set", "n", "position")).alias("l"))
-    leaders = leaders.select("shingle", "block", "l.*")
     span = int(np.ceil(np.log(100 / threshold) / np.log(BLOCK_GROWTH)))
-    near = blocks.withColumn("block", F.explode(F.sequence(F.col("block") - span, F.col("block") + span)))
-    led = (
-        leaders.alias("x")
-        .join(near.alias("y"), ["shingle", "block"])
-        .where(_possible(threshold) & (F.col("x.set") < F.col("y.set")))
-        .select(F.col("x.set").alias("a"), F.col("y.set").alias("b"))
-        .distinct()
-    )
-    compared = materialize(_similar(led, sets), "led")
-    chosen = (
-        compared.where(linked)
-        .groupBy(F.col("b").alias("set"))
-        .agg(F.min(F.struct(distance.alias("far"), F.col("a").alias("cluster"))).alias("c"))
-        .select("set", "c.cluster", "c.far")
-    )
-    chosen = materialize(chosen, "clusters")
-    clustered = sets.select("set").join(chosen, "set", "left").select(
-        "set", F.coalesce("cluster", "set").alias("cluster"), F.coalesce("far", F.lit(0.0)).alias("far")
-    )
-    clustered = materialize(clustered, "clustered")
-
-    # Clusters that meet in a list, without those whose leaders are linked already.
-    placed = blocks.join(clustered, "set")
-    meeting = placed.groupBy("shingle", "block", "cluster").agg(
-        F.min("n").alias("n"), F.max("n").alias("n_most"),
-        F.min("position").alias("position"), F.max("position").alias("position_most"),
-    )
-    several = (
-        meeting.groupBy("shingle")
-        .agg(F.min("cluster").alias("low"), F.max("cluster").alias("high"))
-        .where("low <> high")
-        .select("shingle")
-    )
-    meeting = meeting.join(several, "shingle", "left_semi")
-    reach = meeting.withColumn("block", F.explode(F.sequence(F.col("block") - span, F.col("block") + span)))
-    most = F.least("x.position_most", "y.position_most") + F.least(
-        F.col("x.n_most") - F.col("x.position"), F.col("y.n_most") - F.col("y.position")
-    )
-    together = (
-        meeting.alias("x")
-        .join(reach.alias("y"), ["shingle", "block"])
-        .where(F.col("x.cluster") < F.col("y.cluster"))
-        .where(most * (100 + threshold) >= (F.col("x.n") + F.col("y.n")) * threshold)
-        .select(F.col("x.cluster").alias("a"), F.col("y.cluster").alias("b"))
-        .distinct()
-    )
-    together = materialize(together, "together")
-    known = compared.select("a", "b", "n", "m", "overlap")
-    unknown = together.join(known, ["a", "b"], "left_anti")
-    heads = materialize(
-        _similar(unknown, sets).unionByName(known.join(together, ["a", "b"], "left_semi")), "heads"
-    )
-    # Classes so far.  Links inside one connect nothing new, so only clusters of different classes go on.
-    links = compared.where(linked).select("a", "b").union(heads.where(linked).select("a", "b"))
-    classes = connected_components(links)
-
-    def classed(frame: DataFrame, end: str) -> DataFrame:
-        named = classes.select(F.col("node").alias(end), F.col("component").alias("c"))
-        return frame.join(named, end, "left").withColumn(f"class_{end}", F.coalesce("c", end)).drop("c")
-
-    widest = clustered.groupBy("cluster").agg(F.max("far").alias("far"), F.count("*").alias("members"))
-    between = (
-        heads.where(~linked)
-        .join(widest.select(F.col("cluster").alias("a"), F.col("far").alias("far_a"), F.col("members").alias("k")), "a")
-        .join(widest.select(F.col("cluster").alias("b"), F.col("far").alias("far_b"), F.col("members").alias("l")), "b")
-        .where("k > 1 or l > 1")
-        .where(distance <= F.col("far_a") + F.col("far_b") + (1 - threshold / 100) + 1e-9)
-        .select("a", "b", distance.alias("apart"))
-    )
-    between = classed(classed(between, "a"), "b").where("class_a <> class_b").select("a", "b", "apart")
-    between = materialize(between, "between")
-    if between.isEmpty():
-        return classes
-    touched = between.select(F.col("a").alias("cluster")).union(between.select("b")).distinct()
-    x = placed.join(touched, "cluster", "left_semi").alias("x")
-    y = (
-        placed.join(touched, "cluster", "left_semi")
-        .withColumn("block", F.explode(F.sequence(F.col("block") - span, F.col("block") + span)))
-        .alias("y")
-    )
-    rest = (
-        x.join(y, ["shingle", "block"])
-        .where(_possible(threshold) & (F.col("x.cluster") < F.col("y.cluster")))
-        .select(
-            F.col("x.cluster").alias("a"), F.col("y.cluster").alias("b"),
-            F.col("x.set").alias("s"), F.col("y.set").alias("t"),
-            (F.col("x.far") + F.col("y.far")).alias("slack"),
-        )
-        .distinct()
-        .join(between, ["a", "b"])
-        .where(F.col("apart") <= F.col("slack") + (1 - threshold / 100) + 1e-9)
-        .select(F.least("s", "t").alias("a"), F.greatest("s", "t").alias("b"))
-        .distinct()
-        .join(known, ["a", "b"], "left_anti")
+    reached = F.explode(F.sequence(F.col("block") - span, F.col("block") + span))
+
+    def classed(frame: DataFrame) -> DataFrame:
+        if classes is None:
+            return frame.withColumn("class", F.col("set"))
+        named = classes.select(F.col("node").alias("set"), F.col("component"))
+        return frame.join(named, "set", "left").withColumn("class", F.coalesce("component", "set")).drop("component")
+
+    def compared(pairs: DataFrame, label: str) -> DataFrame:
+        pairs = pairs.select(F.least("x.set", "y.set").alias("a"), F.greatest("x.set", "y.set").alias("b")).distinct()
+        return materialize(_similar(pairs, sets).where(linked).select("a", "b"), label)
+
+    classes, links = None, None
+    for number in range(ROUNDS):
+        placed = classed(entries.drop("own", "bits"))
+        turn = F.xxhash64(F.lit(number), "shingle", "set").alias("turn")
+        leaders = placed.groupBy("shingle", "block").agg(F.min(F.struct(turn, "set", "n", "position", "class")).alias("l"))
+        leaders = leaders.select("shingle", "block", "l.*")
+        near = placed.withColumn("block", reached)
+        led = leaders.alias("x").join(near.alias("y"), ["shingle", "block"])
+        found = compared(led.where(_possible(threshold) & (F.col("x.class") != F.col("y.class"))), "led")
+        links = found if links is None else links.unionByName(found)
+        classes = connected_components(links)
+
+    # Lists that hold several classes.
+    placed = classed(entries)
+    several = placed.groupBy("shingle").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("k"))
+    several = several.where("low <> high").select("shingle", F.ceil(F.col("k") / SLICE).cast("int").alias("slices"))
+    placed = materialize(placed.join(several, "shingle"), "several")
+    x = placed.withColumn("slice", F.pmod(F.xxhash64("set"), F.col("slices")).cast("int"))
+    y = placed.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).withColumn("block", reached)
+    rest = x.alias("x").join(y.alias("y"), ["shingle", "slice", "block"]).where(
+        (F.col("x.set") < F.col("y.set"))
+        & (F.col("x.class") != F.col("y.class"))
+        & _possible(threshold)
+        & _near_bitmaps(threshold)
     )
-    found = _similar(rest, sets).where(linked).select("a", "b")
-    joining = classed(classed(found, "a"), "b").select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
-    joined = connected_components(joining.distinct())
-    further = joined.select(F.col("node").alias("component"), F.col("component").alias("final"))
-    known_sets = classes.join(further, "component", "left").select("node", F.coalesce("final", "component").alias("component"))
-    # Sets without a class until now.
-    return known_sets.union(joined.join(classes, "node", "left_anti").select("node", "component"))
+    return connected_components(links.unionByName(compared(rest, "rest")))
