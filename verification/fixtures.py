@@ -51,6 +51,32 @@ VIEWS = {
           CAST(user_id % 25 AS INT) AS city_id
         FROM (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k
               FROM events) e""",
+    # The same columns with few hours, sessions of very different weight, ids that are blank or the word
+    # null, list items that are blank, products and cities without an entry, and equal counts.
+    "rich_action": """
+        SELECT concat('2024-01-0', 1 + event_id % 2) AS date, user_id,
+          CASE WHEN event_id % 3 = 0 THEN concat('h', event_id % 7)
+               ELSE concat('s', event_id % 997) END AS session_id,
+          k AS page_id,
+          concat('2024-01-0', 1 + event_id % 2, ' 1', event_id % 3, ':', 10 + k % 50, ':',
+                 10 + event_id % 50) AS action_time,
+          CASE WHEN event_type = 'error' THEN concat('kw_', k % 10) ELSE '' END AS search_keyword,
+          CASE WHEN event_type = 'click' THEN CAST(k % 50 AS VARCHAR(20))
+               WHEN event_type = 'view' AND k % 3 = 0 THEN '  ' ELSE '' END AS click_category_id,
+          CASE WHEN event_type <> 'click' THEN ''
+               WHEN k % 11 = 0 THEN 'null' WHEN k % 11 = 1 THEN ' NULL ' WHEN k % 11 = 2 THEN ' '
+               WHEN k % 11 = 3 THEN CAST(k + 100000000 AS VARCHAR(20))
+               ELSE CAST(k AS VARCHAR(20)) END AS click_product_id,
+          CASE WHEN event_type <> 'signup' THEN ''
+               WHEN k % 4 = 0 THEN concat(k % 50, '||', (k + 7) % 50, '| |', k % 50)
+               WHEN k % 4 = 1 THEN concat('|', k % 50, '|') ELSE concat(k % 50, '|', (k + 50) % 50) END
+            AS order_category_ids,
+          '' AS order_product_ids,
+          CASE WHEN event_type = 'purchase' THEN concat(k % 5, '| |', (k + 7) % 50) ELSE '' END AS pay_category_ids,
+          '' AS pay_product_ids,
+          CAST(user_id % 28 AS INT) AS city_id
+        FROM (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k
+              FROM events) e""",
     "user_info": """
         SELECT c_custkey AS user_id, concat('user_', c_custkey) AS user_name, c_name AS name,
           CAST(15 + c_custkey % 45 AS INT) AS age, c_mktsegment AS professional,
@@ -109,6 +135,10 @@ AREA_LEVELS = {
 }
 
 
+# Without an entry for one of the areas.
+SOME_AREA_LEVELS = {"AFRICA": "A", "AMERICA": "A", "ASIA": "B", "EUROPE": "C"}
+
+
 class Tables:
     """The views as attributes, each opened when first used."""
 
@@ -119,6 +149,7 @@ class Tables:
     tb_task: DataFrame
     ad_message: DataFrame
     ad_feed: DataFrame
+    rich_action: DataFrame
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._spark, self._sf_dir = spark, sf_dir

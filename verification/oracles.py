@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from sessionloom.schemas import USER_VISIT_ACTION
-from verification.fixtures import with_views
+from verification.fixtures import VIEWS, with_views
 from verification.queries import FILTER as PARAMETERS
-from verification.queries import RATIO, TASK_ID
+from verification.queries import ON_RICH_INPUT, RATIO, TASK_ID
 
 ACTIONS = "user_visit_action"
 
@@ -74,11 +74,11 @@ ops AS (
   SELECT session_id, click_category_id AS category_id, 0 AS flag
   FROM user_visit_action WHERE trim(click_category_id) <> ''
   UNION ALL
-  SELECT session_id, unnest(string_split(order_category_ids, '|')), 1
+  SELECT session_id, unnest(list_filter(string_split(order_category_ids, '|'), lambda i: trim(i) <> '')), 1
   FROM user_visit_action
   WHERE trim(click_category_id) = '' AND trim(order_category_ids) <> ''
   UNION ALL
-  SELECT session_id, unnest(string_split(pay_category_ids, '|')), 2
+  SELECT session_id, unnest(list_filter(string_split(pay_category_ids, '|'), lambda i: trim(i) <> '')), 2
   FROM user_visit_action
   WHERE trim(click_category_id) = '' AND trim(order_category_ids) = ''
     AND trim(pay_category_ids) <> ''),
@@ -255,6 +255,13 @@ FROM (SELECT *, CAST(action_time AS TIMESTAMP) AS ts FROM user_visit_action)"""
 
 
 def all_oracles() -> dict[str, str]:
+    plain = _oracles()
+    rich = {f"{name}_rich": plain[name].replace(VIEWS[ACTIONS], VIEWS["rich_action"]) for name in ON_RICH_INPUT}
+    levels = rich["area_top10_products_rich"].replace("IN ('ASIA', 'EUROPE') THEN 'B'", "= 'ASIA' THEN 'B'")
+    return plain | rich | {"area_levels_rich": levels.replace("area = 'MIDDLE EAST'", "area = 'EUROPE'")}
+
+
+def _oracles() -> dict[str, str]:
     actions = ACTIONS
     task = f"CAST({TASK_ID} AS BIGINT) AS task_id"
     products = (actions, "city_info", "product_info")
@@ -399,6 +406,18 @@ def all_oracles() -> dict[str, str]:
             FROM parts GROUP BY day, hour""",
             actions,
         ),
+        "request_parameters": with_views(
+            PARTS + """,
+            requests(request, ratio, kind) AS (VALUES
+              (0, 0.01, 'bernoulli'), (1, 0.05, 'bernoulli'), (2, 0.1, 'poisson'), (3, 0.01, 'bernoulli'),
+              (4, 0.02, 'bernoulli'), (5, 0.01, 'bernoulli'), (6, 0.01, 'bernoulli')),
+            hours AS (SELECT day, hour, count(*) AS n FROM parts GROUP BY day, hour)
+            SELECT CAST(request AS INTEGER) AS request, CAST(ratio AS DOUBLE) AS ratio, kind,
+              CAST(sum(n) AS BIGINT) AS sessions,
+              CAST(sum(least(greatest(3, floor(n * CAST(ratio AS DOUBLE))), 50)) AS BIGINT) AS quota
+            FROM requests, hours GROUP BY request, ratio, kind""",
+            actions,
+        ).replace(VIEWS[ACTIONS], VIEWS["rich_action"]),
         "sample_sessions": with_views(
             PARTS + _sample(RATIO) + " SELECT * FROM sample", actions
         ),

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sessionloom import params
 from sessionloom.functions import labels, numbers, records, rules, text, times
 from sessionloom.functions.sql import register_counted_values, register_sql_functions
 from sessionloom.operators import categories, filters, products, sampling, sessions
@@ -21,7 +23,7 @@ from sessionloom.sources import tables
 from sessionloom.sources.tables import read_table, register_views
 from sessionloom.streaming import ad_clicks
 from sessionloom.workspace import fresh_path, materialize
-from verification.fixtures import AREA_LEVELS, Tables, load_tables
+from verification.fixtures import AREA_LEVELS, SOME_AREA_LEVELS, Tables, load_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +46,7 @@ EXTENDED_FILTER = {
 CLICK_FILTER = {"startAge": "18", "endAge": "45", "categoryIds": "1,3,5,7,11,13,17,19,23,29,31,37,41,43,47"}
 
 _REGISTRY: dict[str, Query] = {}
+_FUNCTIONS: dict[str, Callable[[Tables, SparkSession, str], DataFrame]] = {}
 
 # Set this to the address of a database all executors reach, to run the JDBC queries on a
 # cluster.  Where it is unset, and only in local mode, they use a database inside the
@@ -56,6 +59,7 @@ def query(function: Callable[[Tables, SparkSession, str], DataFrame]) -> Query:
         return function(load_tables(spark, sf_dir), spark, sf_dir)
 
     _REGISTRY[function.__name__] = run
+    _FUNCTIONS[function.__name__] = function
     return run
 
 
@@ -587,3 +591,58 @@ def ad_click_counts_closed(t: Tables, spark: SparkSession, sf_dir: str) -> DataF
     path, checkpoint = fresh_path(spark, "ad-counts"), fresh_path(spark, "ad-checkpoint")
     ad_clicks.run_ad_click_counts(counts, path, checkpoint, available_now=True).awaitTermination()
     return spark.read.schema(counts.schema).parquet(path)
+
+
+# ---- the same operators on richer input ------------------------------------------------
+
+#: Queries that are run on ``rich_action`` as well, under their name and ``_rich``.
+ON_RICH_INPUT = [
+    "session_totals", "session_length_levels", "session_hour_lengths", "hour_session_count",
+    "hour_session_length", "hour_invalid_count", "session_aggr_json", "session_ratio_stats",
+    "sample_quota", "sample_sessions", "sample_sessions_poisson", "sample_session_records", "sample_top5_sessions",
+    "category_events", "category_op_counts", "top10_category", "top10_category_full_counts",
+    "category_session_counts", "category_top10_sessions", "top10_category_sessions", "top_session_records",
+    "product_city_clicks", "area_product_clicks", "area_top10_products",
+]
+
+
+def _on_rich_input(name: str) -> None:
+    function = _FUNCTIONS[name]
+
+    def rich(t: Tables, spark: SparkSession, sf_dir: str) -> DataFrame:
+        t.user_visit_action = t.rich_action
+        return function(t, spark, sf_dir)
+
+    rich.__name__ = f"{name}_rich"
+    query(rich)
+
+
+for _name in ON_RICH_INPUT:
+    _on_rich_input(_name)
+
+
+@query
+def area_levels_rich(t: Tables, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With areas that have no level, and products that have no entry."""
+    return product_job.area_top10_products(
+        t.rich_action, t.user_info, t.city_info, t.product_info, {}, levels=SOME_AREA_LEVELS
+    )
+
+
+@query
+def request_parameters(t: Tables, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampling ratio and kind of some requests, and the quota they lead to."""
+    requests = [
+        {}, {"sessionRatio": "0.05"}, {"sessionRatio": 0.1, "sampleType": "poisson"}, {"sessionRatio": "0.2"},
+        {"sessionRatio": " 2e-2 ", "sampleType": "Poisson"}, {"sessionRatio": "x", "sampleType": "bernoulli"}, {"sessionRatio": "-1"},
+    ]
+    frames = [
+        sampling.sample_quota(t.rich_action, params.sample_ratio(request))
+        .agg(F.sum("session_count").alias("sessions"), F.sum("quota").alias("quota"))
+        .select(
+            F.lit(number).alias("request"), F.lit(params.sample_ratio(request)).alias("ratio"),
+            F.lit(params.sample_type(request)).alias("kind"), "sessions", "quota",
+        )
+        for number, request in enumerate(requests)
+    ]
+    return reduce(DataFrame.unionByName, frames)
