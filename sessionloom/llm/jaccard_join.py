@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from sessionloom.llm.components import connected_components
 from sessionloom.llm.counting import counted, parcels, with_counts
-from sessionloom.llm.words import BASES, hash_words, mixed, texts_of, window_hashes
+from sessionloom.llm.words import BASES, free_name, hash_words, mixed, texts_of, window_hashes
 from sessionloom.workspace import materialize
 
 #: The counts only order the index, so a block needs fewer bytes of each shingle.
@@ -220,10 +220,14 @@ def jaccard_classes(
 
 
 def one_of_each_class(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, all columns, that come first in their class."""
-    rows = jaccard_classes(docs, **options).where("row = first_row").select(F.col("row").alias("__row"))
+    """The rows of ``docs``, all columns, that come first in their class.
+
+    Rows are numbered as they are read, twice, so give a table, not a frame whose partitions can come out differently.
+    """
+    row = free_name(docs, "row")
+    rows = jaccard_classes(docs, **options).where("row = first_row").select(F.col("row").alias(row))
     rows = materialize(rows, "first")
-    return docs.withColumn("__row", F.monotonically_increasing_id()).join(rows, "__row", "left_semi").drop("__row")
+    return docs.withColumn(row, F.monotonically_increasing_id()).join(rows, row, "left_semi").drop(row)
 
 
 def _classes(sets: DataFrame, threshold: int) -> DataFrame:

@@ -170,8 +170,8 @@ WITH dw AS (
     SELECT item_id, string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}]+', ' ', 'g')), ' ') AS w FROM benchmark)
 ), m AS (
   SELECT doc_id, item_id, item_words, greatest(dw.p - iw.p, 0) AS start, count(*) AS matched
-  FROM dw JOIN iw USING (word) GROUP BY doc_id, item_id, item_words, dw.p - iw.p
-  HAVING count(*) * 100 >= item_words * 80 AND item_words >= 7
+  FROM dw JOIN iw USING (word) WHERE word <> '' GROUP BY doc_id, item_id, item_words, dw.p - iw.p
+  HAVING count(*) * 100 >= item_words * 80
 )
 SELECT doc_id, item_id, CAST(start AS BIGINT) AS start, CAST(matched AS BIGINT) AS matched, CAST(item_words AS BIGINT) AS item_words
 FROM m QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, start) = 1""",

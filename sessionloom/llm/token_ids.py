@@ -3,8 +3,8 @@
 The vocabulary's split pattern never joins characters across a white-space character other than
 the one blank before a word.  So where every white space is one blank or one line feed, a text's
 ids are those of its words, each with the blank before it, and the ids of words are remembered
-(a bounded number of them); any other text is encoded at once.  Strings of special tokens in a
-text are ordinary text.
+(a bounded number of them); any other text is encoded at once.  The string of the special token in a
+text is that token, as the tokenizer's own library reads it; the text around it is encoded piece by piece.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from array import array
 #: Two generations of so many words are remembered.
 CACHED_WORDS = 500_000
 TOKENIZER = "byte_bpe_50k.tiktoken"
+#: The vocabulary's only special token, which its rank file leaves out.
+SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
 
 
 def vocabulary_path() -> str:
@@ -69,6 +71,9 @@ class Encoder(dict):
 
     def ids(self, text: str) -> bytes:
         """The ids, two little-endian bytes each."""
+        if SPECIAL in text:
+            mark = array("H", [SPECIAL_ID]).tobytes()
+            return mark.join([self.ids(part) if part else b"" for part in text.split(SPECIAL)])
         if not plain(text):
             return self._encode(text)
         first, *rest = text.replace("\n", " \n").split(" ")

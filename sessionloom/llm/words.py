@@ -11,6 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.sql import DataFrame
 
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 #: Two odd bases; ``Q % 8 == 3`` keeps Q**k - 1 as odd as it can be.
@@ -50,3 +51,11 @@ def window_hashes(words: np.ndarray, size: int, base: int = BASES[0]) -> np.ndar
     inverse[0] = 1
     np.multiply.accumulate(inverse, out=inverse)
     return (sums[size:] - sums[: count - size + 1]) * inverse
+
+
+def free_name(frame: DataFrame, wanted: str) -> str:
+    """A column name that the frame does not have, compared as Spark compares names."""
+    taken = {name.lower() for name in frame.columns}
+    while wanted in taken:
+        wanted += "_"
+    return wanted

@@ -155,10 +155,9 @@ def test_ids_lengths_and_pieces(spark, edge_docs, no_docs):
     tokenizers = pytest.importorskip("tokenizers")
     public = pytest.importorskip("public_tokenizers")
     tokenizer = tokenizers.Tokenizer.from_file(public.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     ids = {r.text or "": tokenizer.encode(r.text or "", add_special_tokens=False).ids for r in edge_docs.collect()}
     encode = token_ids.encoder(token_ids.vocabulary_path()).ids
-    for odd in ["a  b", " x ", "a\n\nb", "don't, we'll.", "a\tb", "a b", "<|endoftext|>", "é́ñ 12a\n"]:
+    for odd in ["a  b", " x ", "a\n\nb", "don't, we'll.", "a\tb", "a b", "<|endoftext|>", "a <|endoftext|> b", "<|endoftext|><|endoftext|>c", "x\n<|endoftext|>", "é́ñ 12a\n"]:
         ids[odd] = tokenizer.encode(odd, add_special_tokens=False).ids
     for text, expected in ids.items():
         assert np.frombuffer(encode(text), np.uint16).tolist() == expected, text
@@ -244,3 +243,48 @@ def test_quotes_link_replies(spark):
         (None, 1, "", None, None, None, 1, 0), (3, 0, "", None, None, 3, 0, 0), (3, 0, "", None, None, 3, 0, 0), (4, 0, "", None, None, 4, 0, 0),
     ])
     assert chat.reply_ordered(frame.where("false")).count() == 0
+
+
+def replacements_needed(masks, longest):
+    """For every length, the fewest replaced words that touch every placement of every mask."""
+    span = max(map(len, masks))
+    bits = [(len(m), int(m, 2)) for m in masks]
+    best, out = {0: 0}, {}
+    for length in range(1, longest + 1):
+        following = {}
+        for state, count in best.items():
+            for replaced in (0, 1):
+                now = (state << 1 | replaced) & ((1 << span) - 1)
+                if all(length < n or now & b for n, b in bits):
+                    following[now] = min(following.get(now, 10**9), count + replaced)
+        best = following
+        out[length] = min(best.values())
+    return out
+
+
+def test_masks_leave_no_overlap_out():
+    allowed = {n: n * (100 - decontamination.SHARE) // 100 for n in range(1, 401)}
+    needed = replacements_needed(decontamination.MASKS, 400)
+    assert all(needed[n] > allowed[n] for n in range(7, 401))
+    for n, masks in decontamination.SHORT_MASKS.items():
+        assert replacements_needed(masks, n)[n] > allowed[n]
+
+
+def test_every_substitution_in_short_items_is_found(spark):
+    items = [(n, " ".join(f"i{n}w{k}" for k in range(n))) for n in range(1, 13)] + [(90, None), (91, " - "), (92, "")]
+    rows, expected = [], set()
+    for n, item in items[:12]:
+        for gone in range(n + 1):  # the last one replaces nothing
+            words = [w if k != gone else "other" for k, w in enumerate(item.split())]
+            rows.append((len(rows), f"before {' '.join(words)} after"))
+            if n * 80 <= 100 * (n - (gone < n)):
+                expected.add((len(rows) - 1, n))
+    rows += [(1000, None), (1001, ""), (1002, "- -")]
+    docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, row int, offset int")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontamination.benchmark_overlaps(docs, benchmark)
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == expected
+    kept = decontamination.without_contaminated(docs, benchmark)
+    assert kept.columns == docs.columns
+    assert {(r.doc_id, r.row, r.offset) for r in kept.collect()} == {(i, 1, 2) for i, _ in rows} - {(i, 1, 2) for i, _ in expected}
+    assert decontamination.benchmark_overlaps(docs, benchmark.where("false")).count() == 0
