@@ -71,7 +71,29 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     Cuts the lineage, survives lost executors, and gives the optimizer the real size, so a
     join with a small result is broadcast and one with a large result is not.
     """
-    return _write_and_read(df, fresh_path(df.sparkSession, label))
+    path = fresh_path(df.sparkSession, label)
+    for made in _scopes:
+        made.append(path)
+    return _write_and_read(df, path)
+
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def removing_tables(spark: SparkSession) -> Iterator[list[str]]:
+    """At the end, also after a failure, the tables that ``materialize`` wrote meanwhile are removed.
+
+    Yields the list of their paths; one that is taken out of it stays.
+    """
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield made
+    finally:
+        _scopes[:] = [scope for scope in _scopes if scope is not made]
+        for path in made:
+            remove(spark, path)
 
 
 @contextmanager

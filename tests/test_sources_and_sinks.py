@@ -10,7 +10,14 @@ from sessionloom.sinks import jdbc as jdbc_sinks
 from sessionloom.sources import files as file_sources
 from sessionloom.sources import jdbc as jdbc_sources
 from sessionloom.sources import tables
-from sessionloom.workspace import exists, fresh_path, materialize, shared_folder, temporary_tables
+from sessionloom.workspace import (
+    exists,
+    fresh_path,
+    materialize,
+    removing_tables,
+    shared_folder,
+    temporary_tables,
+)
 
 
 @pytest.fixture
@@ -181,6 +188,15 @@ def test_temporary_tables_are_removed(spark):
     assert not exists(spark, path)
 
 
+def test_tables_of_a_scope_are_removed(spark):
+    with removing_tables(spark) as made:
+        first = materialize(spark.range(3).toDF("id"), "first")
+        last = materialize(first, "last")
+        gone, kept = made
+        made.remove(kept)
+    assert not exists(spark, gone) and last.count() == 3
+
+
 def test_shared_folder():
     def session(master, **settings):
         settings["spark.master"] = master
