@@ -35,7 +35,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    replaced = pii.replace_entities(_table(spark, sf_dir, "documents"), corpus_pipeline.PII_KEY)
+    replaced = pii.replace_entities(_table(spark, sf_dir, "documents"), pii.DEFAULT_KEY)
     return replaced.select("doc_id", "text", "n_entities", "entity_types")
 
 

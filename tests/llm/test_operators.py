@@ -137,8 +137,9 @@ def test_surrogates_keep_identity_format_and_the_rest(spark, edge_docs, no_docs)
     grouped, plain = re.search(r"Card ([\d ]+) or (\d+)", one).groups()
     assert grouped.replace(" ", "") == plain and re.search(r"\+1 \(\d{3}\) \d{3}-\d{4}", one) and "Version 4.0." in one
     names = re.findall(r"Mr\. (\w+)", one)
-    assert names[0] == names[1] and names[0] in pii.NAMES["latin", "m"]
-    assert one.split()[-1] in pii.NAMES["cyrillic", "f"]
+    assert names[0] == names[1] and names[0] in pii.NAMES["latin", "s"]
+    assert one.split()[-1] in [f"{name}а" for name in pii.NAMES["cyrillic", "s"]]
+    assert re.search(r"Mrs\. (\w+)", one).group(1) in pii.NAMES["latin", "f"]
     same = pii.replace_entities(edge_docs, "key")
     assert Counter(same.select("doc_id", "text").collect()) == Counter(edge_docs.select("doc_id", "text").collect())
     assert pii.replace_entities(no_docs, "key").count() == 0
@@ -288,3 +289,47 @@ def test_every_substitution_in_short_items_is_found(spark):
     assert kept.columns == docs.columns
     assert {(r.doc_id, r.row, r.offset) for r in kept.collect()} == {(i, 1, 2) for i, _ in rows} - {(i, 1, 2) for i, _ in expected}
     assert decontamination.benchmark_overlaps(docs, benchmark.where("false")).count() == 0
+
+
+def replaced_texts(spark, *texts):
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    return [r.text for r in pii.replace_entities(docs, "key").orderBy("doc_id").collect()]
+
+
+def test_people_stay_the_same_people(spark):
+    first, second, third = replaced_texts(
+        spark,
+        "Dr. Anna Schmidt met Mr. John Smith. Schmidt said John Smith and Anna left in Smith's car.",
+        "Mr Smith asked Mrs Jane O'Neil; O'Neil and Frau Schmidt agreed.",
+        "Schmidt, Smith and Anna are not people here.",
+    )
+    words = re.match(r"Dr. (\S+) (\S+) met Mr. (\S+) (\S+)\. (\S+) said (\S+) (\S+) and (\S+) left in (\S+)'s car.", first).groups()
+    anna, schmidt, john, smith = words[:4]
+    assert words[4:] == (schmidt, john, smith, anna, smith)
+    assert len({anna, schmidt, john, smith, "Anna", "Schmidt", "John", "Smith"}) == 8
+    found = re.match(r"Mr (\S+) asked Mrs (\S+) (\S+); (\S+) and Frau (\S+) agreed.", second).groups()
+    assert found[0] == smith and found[2] == found[3] != "O'Neil" and found[4] == schmidt
+    assert third == "Schmidt, Smith and Anna are not people here."
+
+
+def test_other_formats(spark):
+    texts = ["call 13812345678.", "030 1234567", "07911 123456", "at fe80::1ff:fe23:4567:890a now", f"key {'abcdef' * 6} end"]
+    for text, new in zip(texts, replaced_texts(spark, *texts)):
+        assert new != text and len(new) == len(text)
+        assert re.sub(r"[0-9a-f]", "0", new) == re.sub(r"[0-9a-f]", "0", text)
+
+
+def test_formats_do_not_run_out(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    mails = [f"{a}@{b}.de" for a in letters for b in letters]
+    addresses = [f"{k // 1000}.{k // 100 % 10}.{k // 10 % 10}.{k % 10}" for k in range(10_000)]
+    out = replaced_texts(spark, *mails, *addresses)
+    assert len(set(out)) == len(out) and not set(out) & set(mails + addresses)
+    assert all(re.fullmatch(r"[a-z]+@[a-z]+\.de", m) for m in out[: len(mails)])
+    assert all(re.fullmatch(r"\d+(\.\d+){3}", a) and max(map(int, a.split("."))) < 256 for a in out[len(mails) :])
+
+
+def test_personal_data_beside_clashing_columns(spark):
+    docs = spark.createDataFrame([("me@x.org", 1, "n", 7, "g", 5, "p")], "text string, __row int, __new string, `a.b` int, __gaps string, n_entities int, body string")
+    (row,) = pii.replace_entities(docs, "key").collect()
+    assert (row["__row"], row["__new"], row["a.b"], row["__gaps"], row["n_entities"], row["body"]) == (1, "n", 7, "g", 1, "p")
