@@ -13,10 +13,7 @@ from pyspark.sql import functions as F
 
 from sessionloom.llm import decontamination, jaccard_join, packing, pii, quality
 from sessionloom.llm.shipping import ship_package
-from sessionloom.workspace import materialize
-
-#: Stands for the deployment's own secret.
-PII_KEY = "replace-by-a-secret-of-your-own"
+from sessionloom.workspace import materialize, removing_tables
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +41,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with surrogates for personal data; n_chars follows the text."""
-    replaced = pii.replace_entities(docs, PII_KEY).select(*docs.columns)
+    replaced = pii.replace_entities(docs, pii.DEFAULT_KEY)
+    replaced = replaced.select(*[f"`{name}`" for name in docs.columns])
     if "n_chars" in docs.columns:
         replaced = replaced.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return replaced
@@ -69,7 +67,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The result of all stages; tables of a stage are removed when the next one has been written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with removing_tables(spark) as made:
+            docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+            written = made.pop()
+            if before:
+                made.append(before)
+            before = written
     return docs
