@@ -2,7 +2,8 @@
 
 Every element of a page is a variable, content or not.  Its features (tag, words of its class, id
 and role, length and link share of its own text) give it a unary potential; each parent and child
-share a pairwise potential.  Sum-product messages go up the tree and down again, which gives the
+share a pairwise potential, of one kind where the child is marked as a part of its own (comments, adverts, menus and
+the like) and of another where it is not.  Sum-product messages go up the tree and down again, which gives the
 exact marginal of every element; a block of text is kept where its element is more likely content
 than not.  Potentials are trained by counting on labelled pages: layouts written out below, each
 element marked, in all their combinations.
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|textarea|noscript|template|svg|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    # A quote counts where a value begins; one that is not closed before the next tag ends with its own tag.
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"<]*\"|=\s*'[^'<]*'|[^>])*)(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
 _ATTRIBUTES = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
@@ -87,6 +89,8 @@ class Page:
     def _read(self, source: str) -> None:
         stack, block, at, links, hidden = [0], [0], 0, 0, 0
         tags = self.tags
+        #: How many elements of each tag are open.
+        open_ = self._open = Counter()
         for found in _MARKUP.finditer(source):
             if found.start() > at and not hidden:
                 self._text(source[at : found.start()], block[-1], links)
@@ -96,10 +100,11 @@ class Page:
                 continue
             tag = tag.lower()
             if found[2]:
-                if tag not in (tags[k] for k in stack):
+                if not open_[tag]:
                     continue
                 while True:
                     node = stack.pop()
+                    open_[tags[node]] -= 1
                     links -= tags[node] == "a"
                     hidden -= tags[node] in _HIDDEN
                     if block[-1] == node:
@@ -125,6 +130,7 @@ class Page:
             if found[4].endswith("/") and not inline and tag not in _BARRIERS:
                 continue
             stack.append(node)
+            open_[tag] += 1
             links += tag == "a"
             hidden += tag in _HIDDEN
             if not inline:
@@ -135,14 +141,17 @@ class Page:
 
     def _close_before(self, tag, stack, block, links, hidden):
         kinds, limits = _CLOSES.get(tag, ({"p"}, _BARRIERS))
+        if not any(self._open[kind] for kind in kinds):
+            return links, hidden
         for k in range(len(stack) - 1, 0, -1):
             name = self.tags[stack[k]]
             if name in kinds:
                 for node in stack[k:]:
                     links -= self.tags[node] == "a"
                     hidden -= self.tags[node] in _HIDDEN
-                    if node in block:
-                        block.remove(node)
+                    self._open[self.tags[node]] -= 1
+                while block[-1] >= stack[k]:  # blocks stand in the order of the stack
+                    block.pop()
                 del stack[k:]
                 break
             if name in limits:
@@ -192,6 +201,10 @@ _MAINS = [
     f'<div class="post-content" data-content="1">{_BODY}<div class="share-links" data-content="0"><a href="/s">Share</a></div></div>',
     f'<div id="content"><div class="entry" data-content="1">{_BODY}<aside data-content="0"><p>{_SHORT}</p></aside></div></div>',
     f'<div><div data-content="1">{_BODY}<p>{_LONG}</p></div></div>',
+    f'<article data-content="1">{_BODY}<div class="comments" data-content="0"><div class="comment"><p>{_SHORT}</p></div><div class="comment"><p>{_LONG}</p></div></div></article>',
+    f'<main><article class="post" data-content="1">{_BODY}<section id="comment-list" data-content="0"><h3>Replies</h3><ul><li>{_SHORT}</li><li>{_LONG}</li></ul></section></article></main>',
+    f'<div class="story-body" data-content="1"><p>{_LONG}</p><div class="newsletter-box" data-content="0"><p>{_SHORT}</p><form><p>{_SHORT}</p></form></div><p>{_LONG}</p><p>{_SHORT}</p></div>',
+    f'<article data-content="1"><header><h1>Title</h1><p>{_SHORT}</p></header><section><p>{_LONG}</p><figure><figcaption>{_SHORT}</figcaption></figure></section><div class="comment-box" data-content="0"><p>{_SHORT}</p></div></article>',
     f'<table><tr><td data-content="1">{_BODY}</td><td><ul>{_ITEMS}</ul></td></tr></table>',
 ]
 _ENDS = [
@@ -211,6 +224,11 @@ def labelled_pages() -> list[str]:
     ]
 
 
+def _apart(features: list[str]) -> bool:
+    """Whether an element is marked as something other than content."""
+    return any(feature.startswith("kind ") and feature != "kind content" for feature in features)
+
+
 class Model:
     """Potentials as ratios of content to other."""
 
@@ -226,14 +244,18 @@ class Model:
                 labels.append(int(mark[1]) if mark else labels[page.parents[node]])
                 label = labels[node]
                 total[label] += 1
-                pairs[labels[page.parents[node]], label] += 1
-                seen.update((feature, label) for feature in page.features(node))
+                features = page.features(node)
+                pairs[_apart(features), labels[page.parents[node]], label] += 1
+                seen.update((feature, label) for feature in features)
         names = {feature for feature, _ in seen}
         self.feature = {
             f: math.log((seen[f, 1] + 0.5) / (total[1] + 1)) - math.log((seen[f, 0] + 0.5) / (total[0] + 1)) for f in names
         }
-        rows = [pairs[0, 0] + pairs[0, 1] + 2, pairs[1, 0] + pairs[1, 1] + 2]
-        self.pair = [[(pairs[a, b] + 1) / rows[a] for b in (0, 1)] for a in (0, 1)]
+        #: By whether the child is a part of its own: chances of the child's label for each label of the parent.
+        self.pair = [
+            [[(pairs[own, a, b] + 1) / (pairs[own, a, 0] + pairs[own, a, 1] + 2) for b in (0, 1)] for a in (0, 1)]
+            for own in (False, True)
+        ]
         # Features of an element depend on each other, so their sum says too much; the share of it
         # that classifies most of the labelled elements with text is taken.
         single = self.feature
@@ -253,23 +275,27 @@ class Model:
     def marginals(self, page: Page) -> list[float]:
         """Log-odds of content for every element, by messages up and down the tree."""
         count, parents = len(page.tags), page.parents
-        (p00, p01), (p10, p11) = self.pair
         weight = self.feature.get
+        pair = [self.pair[0]] * count
         below = [0.0] * count  # own potential and all messages from children
         up = [0.0] * count
         for node in range(1, count):
-            below[node] = sum(weight(feature, 0.0) for feature in page.features(node))
+            features = page.features(node)
+            below[node] = sum(weight(feature, 0.0) for feature in features)
+            pair[node] = self.pair[_apart(features)]
 
         def passed(log_odds: float, a: float, b: float, c: float, d: float) -> float:
             ratio = math.exp(max(-50.0, min(50.0, log_odds)))
             return math.log((a + b * ratio) / (c + d * ratio))
 
         for node in range(count - 1, 0, -1):
+            (p00, p01), (p10, p11) = pair[node]
             up[node] = passed(below[node], p10, p11, p00, p01)
             below[parents[node]] += up[node]
         out = below[:]
         out[0] = below[0] - 20.0  # the page as a whole is not content
         for node in range(1, count):
+            (p00, p01), (p10, p11) = pair[node]
             from_above = out[parents[node]] - up[node]
             out[node] = below[node] + passed(from_above, p01, p11, p00, p10)
         return out

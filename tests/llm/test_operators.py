@@ -1,6 +1,7 @@
 """Every operator against a brute-force version or an exact round trip, and on edge cases."""
 
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -333,3 +334,46 @@ def test_personal_data_beside_clashing_columns(spark):
     docs = spark.createDataFrame([("me@x.org", 1, "n", 7, "g", 5, "p")], "text string, __row int, __new string, `a.b` int, __gaps string, n_entities int, body string")
     (row,) = pii.replace_entities(docs, "key").collect()
     assert (row["__row"], row["__new"], row["a.b"], row["__gaps"], row["n_entities"], row["body"]) == (1, "n", 7, "g", 1, "p")
+
+
+BODY = "<h1>T</h1>" + "<p>" + "Some long text of the story, which goes on for a while. " * 5 + "</p><p>Short.</p>"
+
+
+def test_comments_inside_articles_are_left_out():
+    for box in ("<div class='comment-box'><p>Reader says hi</p></div>", '<section id="comments"><ul><li>Reader says hi</li></ul></section>'):
+        text = html_text.main_text(f"<body><nav><a href='/'>x</a></nav><article>{BODY}{box}</article></body>")
+        assert "Reader" not in text and text.endswith("Short.")
+
+
+def test_quotes_in_attributes():
+    for tag in ("<p title=it's>", "<p title=\"a>b\">", "<p title='a>b' x>", "<p data-x=\"open>", "<p a=1 b=' c>"):
+        text = html_text.main_text(f"<article>{BODY}{tag}First here</p><p>We don't know, \"he\" said.</p></article>")
+        assert text.endswith("Short.\nFirst here\nWe don't know, \"he\" said."), tag
+
+
+def test_many_tags_take_little_time():
+    started = time.perf_counter()
+    html_text.main_text("<div>" * 8000 + "</span>" * 100_000)
+    html_text.main_text("<b>" * 20_000 + "<p>x" * 20_000)
+    assert time.perf_counter() - started < 10
+
+
+def test_held_out_layouts():
+    """Each kind of main part held out in turn: the share of elements with text that is told right."""
+    pages = html_text.labelled_pages()
+    ends = len(html_text._ENDS)
+    shares = []
+    for held in range(len(html_text._MAINS)):
+        chosen = [k // ends % len(html_text._MAINS) == held for k in range(len(pages))]
+        model = html_text.Model([page for page, out in zip(pages, chosen) if not out])
+        right = every = 0
+        for source in [page for page, out in zip(pages, chosen) if out][:10]:
+            page, labels = html_text.Page(source), [0]
+            for node in range(1, len(page.tags)):
+                mark = html_text._LABEL.search(page.attributes[node])
+                labels.append(int(mark[1]) if mark else labels[page.parents[node]])
+            odds = model.marginals(page)
+            for node in {node for node, _ in page.blocks}:
+                every, right = every + 1, right + ((odds[node] > 0) == labels[node])
+        shares.append(right / every)
+    assert sum(shares) / len(shares) > 0.9, shares
