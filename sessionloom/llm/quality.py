@@ -97,12 +97,14 @@ def _chunks(bodies: list[bytes]):
 def with_measures(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """The kept columns and the five measures."""
     keep = [name for name in keep if name not in MEASURES]
-    frame = docs.select(*keep, F.col(text).alias("__text"))
+    # A text that is kept travels once.
+    body = text if text in keep else "__text"
+    frame = docs.select(*keep, *([] if text in keep else [F.col(text).alias(body)]))
     schema = T.StructType([*docs.select(*keep).schema.fields, *(T.StructField(m, T.LongType()) for m in MEASURES)])
 
     def measure(batches):
         for batch in batches:
-            bodies = texts_of(batch["__text"])
+            bodies = texts_of(batch[body])
             table = np.concatenate([np.empty((0, 5), np.int64), *map(_measured, _chunks(bodies))])
             columns = [batch[name] for name in keep] + [pa.array(table[:, k]) for k in range(5)]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, *MEASURES])
@@ -172,9 +174,10 @@ def judge(
     for rule in reversed(cascade):
         verdict = F.when(rule.rejects, F.lit(rule.name)).otherwise(verdict)
     keep = [name for name in keep if name not in (*MEASURES, "rejected_by", "base_failed", "kept")]
-    body = docs.select(*keep, F.col(text).alias("__body"), verdict.alias("rejected_by"))
+    body = text if text in keep else "__body"
+    judged = docs.select(*keep, *([] if text in keep else [F.col(text).alias(body)]), verdict.alias("rejected_by"))
     return (
-        with_measures(body, [*keep, "rejected_by"], "__body")
+        with_measures(judged, [*keep, "rejected_by"], body)
         .withColumn("base_failed", base_failed())
         .withColumn("kept", ~F.col("base_failed") & F.col("rejected_by").isNull())
     )

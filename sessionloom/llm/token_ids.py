@@ -13,7 +13,7 @@ import base64
 from array import array
 
 #: Two generations of so many words are remembered.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 250_000
 TOKENIZER = "byte_bpe_50k.tiktoken"
 #: The vocabulary's only special token, which its rank file leaves out.
 SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
