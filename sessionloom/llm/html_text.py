@@ -203,8 +203,8 @@ _MAINS = [
     f'<div><div data-content="1">{_BODY}<p>{_LONG}</p></div></div>',
     f'<article data-content="1">{_BODY}<div class="comments" data-content="0"><div class="comment"><p>{_SHORT}</p></div><div class="comment"><p>{_LONG}</p></div></div></article>',
     f'<main><article class="post" data-content="1">{_BODY}<section id="comment-list" data-content="0"><h3>Replies</h3><ul><li>{_SHORT}</li><li>{_LONG}</li></ul></section></article></main>',
-    f'<div class="story-body" data-content="1"><p>{_LONG}</p><div class="newsletter-box" data-content="0"><p>{_SHORT}</p><form><p>{_SHORT}</p></form></div><p>{_LONG}</p><p>{_SHORT}</p></div>',
-    f'<article data-content="1"><header><h1>Title</h1><p>{_SHORT}</p></header><section><p>{_LONG}</p><figure><figcaption>{_SHORT}</figcaption></figure></section><div class="comment-box" data-content="0"><p>{_SHORT}</p></div></article>',
+    f'<div class="story-body" data-content="1">{_BODY}<div class="newsletter-box" data-content="0"><p>{_SHORT}</p><form><p>{_SHORT}</p></form></div><p>{_LONG}</p><p>{_SHORT}</p></div>',
+    f'<article data-content="1"><header><p>{_SHORT}</p></header><section>{_BODY}<figure><figcaption>{_SHORT}</figcaption></figure></section><div class="comment-box" data-content="0"><p>{_SHORT}</p></div></article>',
     f'<table><tr><td data-content="1">{_BODY}</td><td><ul>{_ITEMS}</ul></td></tr></table>',
 ]
 _ENDS = [
