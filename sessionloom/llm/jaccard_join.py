@@ -42,7 +42,8 @@ from pyspark.sql import functions as F
 
 from sessionloom.llm.components import connected_components
 from sessionloom.llm.counting import counted, parcels, with_counts
-from sessionloom.llm.words import BASES, free_name, hash_words, mixed, texts_of, window_hashes
+from sessionloom.llm.shipping import bound_batches
+from sessionloom.llm.words import BASES, chunks, free_name, hash_words, mixed, texts_of, window_hashes
 from sessionloom.workspace import materialize
 
 #: The counts only order the index, so a block needs fewer bytes of each shingle.
@@ -58,6 +59,10 @@ SLICE = 4096
 
 def shingle_sets(bodies: list[bytes], size: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of every text, A-Z taken as a-z."""
+    return [values for chunk in chunks(bodies) for values in _shingle_sets(chunk, size)]
+
+
+def _shingle_sets(bodies: list[bytes], size: int) -> list[np.ndarray]:
     rows = [body.lower().split() for body in bodies]
     hashed = hash_words([w for row in rows for w in row])
     windows = mixed(window_hashes(hashed, size))
@@ -184,6 +189,7 @@ def jaccard_classes(
             }
         )
 
+    bound_batches(docs.sparkSession)
     rows, buckets = parcels(docs, doc_id, text)
     base = materialize(
         with_counts(

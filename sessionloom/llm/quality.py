@@ -15,6 +15,7 @@ returned; one with the name of a measure is replaced by the measure.
 from __future__ import annotations
 
 import time
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -24,10 +25,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sessionloom.llm.words import mixed, texts_of, window_hashes
+from sessionloom.llm.shipping import bound_batches
+from sessionloom.llm.words import mixed, slices, texts_of, window_hashes
 
 WINDOW = 5
-CHUNK_BYTES = 4 << 20
 #: Rows on which cost and selectivity of the rules are estimated, and how often each is run.
 SAMPLE_ROWS = 500
 SAMPLE_REPEATS = 4
@@ -82,20 +83,17 @@ def _measured(bodies: list[bytes]) -> np.ndarray:
     return np.stack([n_words, word_chars, n_symbols, np.array(n_dup, np.int64), repeated], axis=1)
 
 
-def _chunks(bodies: list[bytes]):
-    size, chunk = 0, []
-    for body in bodies:
-        chunk.append(body)
-        size += len(body)
-        if size >= CHUNK_BYTES:
-            yield chunk
-            size, chunk = 0, []
-    if chunk:
-        yield chunk
+def measured_parts(batch: pa.RecordBatch, keep: list[str], body: str) -> Iterator[pa.RecordBatch]:
+    """The kept columns and the five measures, in batches of bounded text."""
+    for part in slices(batch, body):
+        table = _measured(texts_of(part[body]))
+        columns = [part[name] for name in keep] + [pa.array(table[:, k]) for k in range(len(MEASURES))]
+        yield pa.RecordBatch.from_arrays(columns, names=[*keep, *MEASURES])
 
 
 def with_measures(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """The kept columns and the five measures."""
+    bound_batches(docs.sparkSession)
     keep = [name for name in keep if name not in MEASURES]
     # A text that is kept travels once.
     body = text if text in keep else "__text"
@@ -104,10 +102,7 @@ def with_measures(docs: DataFrame, keep: list[str], text: str = "text") -> DataF
 
     def measure(batches):
         for batch in batches:
-            bodies = texts_of(batch[body])
-            table = np.concatenate([np.empty((0, 5), np.int64), *map(_measured, _chunks(bodies))])
-            columns = [batch[name] for name in keep] + [pa.array(table[:, k]) for k in range(5)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *MEASURES])
+            yield from measured_parts(batch, keep, body)
 
     return frame.mapInArrow(measure, schema)
 

@@ -8,14 +8,19 @@ words is Rabin-Karp's polynomial modulo 2**64, taken from prefix sums: with
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 #: Two odd bases; ``Q % 8 == 3`` keeps Q**k - 1 as odd as it can be.
 BASES = (0x9E3779B97F4A7C1B, 0xC2B2AE3D27D4EB53)
+#: Words are many times larger than their text, so they are cut out of so many bytes of text at a time.
+CHUNK_BYTES = 1 << 20
 
 
 def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
@@ -24,6 +29,30 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [text or b"" for text in column.cast(kind).to_pylist()]
 
 
+def chunks(bodies: list[bytes]) -> Iterator[list[bytes]]:
+    """The texts in turn, in lists that are closed at ``CHUNK_BYTES``."""
+    size, chunk = 0, []
+    for body in bodies:
+        chunk.append(body)
+        size += len(body)
+        if size >= CHUNK_BYTES:
+            yield chunk
+            size, chunk = 0, []
+    if chunk:
+        yield chunk
+
+
+def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in turn, in batches that are closed at ``CHUNK_BYTES`` of text."""
+    sizes = pc.fill_null(pc.binary_length(batch[text]), 0)
+    ends = np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype=np.int64)
+    at, before = 0, 0
+    while at < len(ends):
+        end = min(int(np.searchsorted(ends, before + CHUNK_BYTES)) + 1, len(ends))
+        yield batch.slice(at, end - at)
+        at, before = end, ends[end - 1]
+
+
 def hash_words(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
