@@ -44,6 +44,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionloom.llm.perfect_hash import PerfectHash
+from sessionloom.llm.shipping import bound_batches
 from sessionloom.llm.token_ids import plain
 from sessionloom.workspace import materialize
 
@@ -247,16 +248,17 @@ def _array(value: bytes | pa.Scalar, kind: type) -> np.ndarray:
     return np.frombuffer(value if isinstance(value, bytes) else value.as_py(), kind)
 
 
-def _tree(parts: DataFrame, count: int, group, schema: str, last=None) -> DataFrame:
-    """Merges the rows of a bucket, ``FAN`` neighbouring nodes at a time, until each bucket has one."""
+def _tree(parts: DataFrame, count: int, group, schema: str, last=None, last_schema: str | None = None) -> DataFrame:
+    """Merges the rows of a bucket, ``FAN`` neighbouring nodes at a time, until each bucket has one.
+
+    ``last`` takes the place of ``group`` in the last step.
+    """
     while True:
         count = -(-count // FAN)
         parts = parts.withColumn("node", F.floor(F.col("node") / FAN).cast("int"))
-        done = count == 1
-        parts = parts.groupBy("bucket", "node").applyInArrow(last if done and last else group, schema)
-        if done:
-            return parts
-        parts = materialize(parts, "tree")
+        if count == 1:
+            return parts.groupBy("bucket", "node").applyInArrow(last or group, last_schema or schema)
+        parts = materialize(parts.groupBy("bucket", "node").applyInArrow(group, schema), "tree")
 
 
 def _row(table: pa.Table, **columns) -> pa.Table:
@@ -277,26 +279,24 @@ def pair_tables(lists: DataFrame, count: int) -> DataFrame:
     def union(table: pa.Table) -> pa.Table:
         return _row(table, keys=pa.array([_united(table).tobytes()], pa.binary()))
 
-    lists = lists.withColumn("node", F.col("parcel"))
-    distinct = _tree(lists.select("bucket", "node", "keys"), count, union, "bucket int, node int, keys binary")
+    def hashed(table: pa.Table) -> pa.Table:
+        keys = _united(table)
+        function = PerfectHash.of(keys)
+        at = np.empty(len(keys), np.uint64)
+        at[function.numbers(keys)] = keys
+        return pa.table({
+            "bucket": table["bucket"][:1], "sizes": pa.array([function.sizes], pa.list_(pa.int64())),
+            "bits": pa.array([function.bits], pa.binary()), "keys": pa.array([at.tobytes()], pa.binary()),
+        })
 
-    def hashed(batches):
-        for batch in batches:
-            sizes, bits, ordered = [], [], []
-            for value in batch["keys"]:
-                keys = _array(value, np.uint64)
-                function = PerfectHash.of(keys)
-                at = np.empty(len(keys), np.uint64)
-                at[function.numbers(keys)] = keys
-                sizes.append(function.sizes)
-                bits.append(function.bits)
-                ordered.append(at.tobytes())
-            yield pa.RecordBatch.from_pydict({
-                "bucket": batch["bucket"], "sizes": pa.array(sizes, pa.list_(pa.int64())),
-                "bits": pa.array(bits, pa.binary()), "keys": pa.array(ordered, pa.binary()),
-            })
-
-    functions = materialize(distinct.select("bucket", "keys").mapInArrow(hashed, "bucket int, sizes array<long>, bits binary, keys binary"), "functions")
+    lists = lists.withColumn("node", F.col("parcel"))
+    # The hash is built where the last lists meet: a second Python step in these tasks would double the workers,
+    # and later stages load the vocabularies into each of them.
+    functions = _tree(
+        lists.select("bucket", "node", "keys"), count, union, "bucket int, node int, keys binary",
+        hashed, "bucket int, sizes array<long>, bits binary, keys binary",
+    )
+    functions = materialize(functions, "functions")
 
     def dense(key, left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left):
@@ -392,6 +392,7 @@ def align(
     groups (``a1,a2|b1;a3|b2,b3``, where wanted) and groups_sha256.  For the tables see ``pair_tables``; ``pair_counts`` gives them as rows.
     """
     paths = paths or vocabulary_paths()
+    bound_batches(docs.sparkSession)
 
     def chunked(batches):
         known = vocabularies(paths)

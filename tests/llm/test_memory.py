@@ -1,11 +1,12 @@
-"""What tasks hold at a time: bounded pieces of text, bounded batches."""
+"""What tasks hold at a time: bounded pieces of text, bounded batches, one Python step."""
 
 import tracemalloc
 
 import pyarrow as pa
 from helpers_llm import prose
 
-from sessionloom.llm import jaccard_join, quality, words
+from sessionloom.llm import alignment, jaccard_join, quality, words
+from sessionloom.workspace import materialize
 
 
 def held_by(make):
@@ -57,3 +58,17 @@ def test_operators_bound_the_batches_sent_to_python(spark, edge_docs):
         assert spark.conf.get(key).startswith(str(1 << 20))
     finally:
         spark.conf.unset(key)
+
+
+def test_stages_of_the_alignment_have_one_python_step(spark, monkeypatch):
+    plans = {}
+
+    def kept(frame, label):
+        plans[label] = frame._jdf.queryExecution().executedPlan().toString()
+        return materialize(frame, label)
+
+    monkeypatch.setattr(alignment, "materialize", kept)
+    docs = spark.createDataFrame([(k, prose(k % 5)) for k in range(20)], "doc_id long, text string")
+    alignment.align(docs)
+    functions = plans["functions"].split("Exchange")[0]
+    assert sum(functions.count(step) for step in ("MapInArrow", "FlatMapGroupsInArrow", "FlatMapCoGroupsInArrow")) == 1
