@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sessionloom.llm.shipping import giving_back
+
 PARCEL_BYTES = 8 << 20
 BUCKET_BYTES = 12 << 20
 
@@ -109,8 +111,12 @@ def counted(rows: DataFrame, buckets: int, width: int, values_of: Values) -> Dat
             }
         )
 
-    blocks = rows.groupBy("parcel").applyInArrow(requests, "parcel int, bucket int, block binary")
-    return blocks.groupBy("bucket").applyInArrow(answers, "parcel int, bucket int, counts binary")
+    blocks = rows.groupBy("parcel").applyInArrow(
+        lambda table: giving_back(requests, table), "parcel int, bucket int, block binary"
+    )
+    return blocks.groupBy("bucket").applyInArrow(
+        lambda table: giving_back(answers, table), "parcel int, bucket int, counts binary"
+    )
 
 
 def with_counts(
@@ -134,4 +140,6 @@ def with_counts(
         out[order] = by_bucket
         return result_of(table, out)
 
-    return rows.groupBy("parcel").cogroup(answers.groupBy("parcel")).applyInArrow(joined, schema)
+    return rows.groupBy("parcel").cogroup(answers.groupBy("parcel")).applyInArrow(
+        lambda table, replies: giving_back(joined, table, replies), schema
+    )

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from sessionloom.llm.components import connected_components
 from sessionloom.llm.counting import counted, parcels, with_counts
-from sessionloom.llm.shipping import bound_batches
+from sessionloom.llm.shipping import bound_batches, give_back
 from sessionloom.llm.words import BASES, chunks, free_name, hash_words, mixed, texts_of, window_hashes
 from sessionloom.workspace import materialize
 
@@ -107,6 +107,7 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                     "overlap": pa.array(_overlaps(batch["of_a"], batch["of_b"]), pa.int32()),
                 }
             )
+        give_back()
 
     return (
         pairs.select("a", "b")

@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sessionloom.llm.shipping import give_back
 from sessionloom.llm.token_ids import encoder, vocabulary_path
 
 WINDOW = 2048
@@ -176,6 +177,8 @@ def pack(
                     names, shard, tokens = [], [], 0
         if shard:
             yield close(names, shard)
+        del names, shard
+        give_back()
 
     frame = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return frame.mapInArrow(packed, SCHEMA + (", ids array<int>" if with_ids else ""))

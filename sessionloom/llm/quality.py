@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sessionloom.llm.shipping import bound_batches
+from sessionloom.llm.shipping import bound_batches, give_back
 from sessionloom.llm.words import mixed, slices, texts_of, window_hashes
 
 WINDOW = 5
@@ -103,6 +103,7 @@ def with_measures(docs: DataFrame, keep: list[str], text: str = "text") -> DataF
     def measure(batches):
         for batch in batches:
             yield from measured_parts(batch, keep, body)
+        give_back()
 
     return frame.mapInArrow(measure, schema)
 

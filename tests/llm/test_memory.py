@@ -1,11 +1,15 @@
 """What tasks hold at a time: bounded pieces of text, bounded batches, one Python step."""
 
 import tracemalloc
+from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from helpers_llm import prose
+from pyspark.sql import functions as F
 
-from sessionloom.llm import alignment, jaccard_join, quality, words
+from sessionloom.llm import alignment, counting, jaccard_join, quality, words
+from sessionloom.llm.shipping import give_back, ship_package
 from sessionloom.workspace import materialize
 
 
@@ -72,3 +76,37 @@ def test_stages_of_the_alignment_have_one_python_step(spark, monkeypatch):
     alignment.align(docs)
     functions = plans["functions"].split("Exchange")[0]
     assert sum(functions.count(step) for step in ("MapInArrow", "FlatMapGroupsInArrow", "FlatMapCoGroupsInArrow")) == 1
+
+
+def test_waiting_workers_hold_no_freed_memory(spark, monkeypatch):
+    ship_package(spark)
+    # Another environment has workers of its own.
+    monkeypatch.setitem(spark.sparkContext.environment, "SESSIONLOOM_TEST", "waiting")
+    text = F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(900)), lambda k: F.xxhash64(F.col("row") % 200, k).cast("string")))
+    rows = spark.range(400).select(F.lit(0).alias("parcel"), F.col("id").alias("row"), F.col("id").alias("doc_id"))
+    rows = rows.withColumn("text", text)
+
+    def values_of(table):
+        flat = np.concatenate(jaccard_join.shingle_sets(words.texts_of(table["text"]), 4))
+        return np.stack([flat, words.mixed(flat)], axis=1)
+
+    def result_of(table, counts):
+        return pa.table({"row": table["row"]})
+
+    def held(batches):
+        def mb():
+            return int(Path("/proc/self/statm").read_text().split()[1]) * 4096 >> 20
+
+        for _ in batches:
+            before = mb()
+            give_back()
+            yield pa.RecordBatch.from_pydict({"mb": [before - mb()]})
+
+    def worst():
+        return max(r.mb for r in spark.range(8, numPartitions=4).mapInArrow(held, "mb long").collect())
+
+    answers = counting.counted(rows, 1, 5, values_of)
+    counting.with_counts(rows, answers, 1, values_of, result_of, "row long").write.format("noop").mode("overwrite").save()
+    assert worst() < 20
+    quality.with_measures(rows.coalesce(1), ["row"]).write.format("noop").mode("overwrite").save()
+    assert worst() < 20
