@@ -2,6 +2,7 @@
 
 import os
 from pathlib import Path
+from types import SimpleNamespace
 
 import duckdb
 import pandas as pd
@@ -9,7 +10,7 @@ import pytest
 
 import __spark_entry__ as entry_module
 from verification.oracles import all_oracles
-from verification.queries import all_queries
+from verification.queries import JDBC_URL_SETTING, _jdbc_url, all_queries
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 # The queries of the training-data operators have tests of their own.
@@ -48,3 +49,15 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_entry_runs(spark):
     assert entry_module.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("master", ["local-cluster[3,2,3000]", "spark://host:7077", "yarn"])
+def test_executors_of_their_own_need_a_named_database(master):
+    with pytest.raises(ValueError, match=JDBC_URL_SETTING):
+        _jdbc_url(SimpleNamespace(conf={"spark.master": master}))
+    assert _jdbc_url(SimpleNamespace(conf={"spark.master": master, JDBC_URL_SETTING: "jdbc:x:y"})) == "jdbc:x:y"
+
+
+@pytest.mark.parametrize("master", ["local", "local[4]", "local[*]", "local[4,2]"])
+def test_one_process_has_a_database_of_its_own(master):
+    assert _jdbc_url(SimpleNamespace(conf={"spark.master": master})).startswith("jdbc:derby:memory:")
