@@ -44,9 +44,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionloom.llm.perfect_hash import PerfectHash
-from sessionloom.llm.shipping import bound_batches
+from sessionloom.llm.shipping import bound_batches, give_back, giving_back
 from sessionloom.llm.token_ids import plain
-from sessionloom.workspace import materialize
+from sessionloom.workspace import materialize, materialize_large_rows
 
 #: A as the tokenizer's own file and as ranks, and B.
 VOCABULARY_A, RANKS_A, VOCABULARY_B = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
@@ -408,9 +408,11 @@ def align(
                     number, names, texts, chars = number + 1, [], [], 0
         if names:
             yield _chunk(number, names, texts, known)
+        # The workers wait while chunks are shuffled.
+        give_back()
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    chunks = materialize(rows.mapInArrow(chunked, f"{_CHUNK}, {_LISTS}"), "chunks")
+    chunks = materialize_large_rows(rows.mapInArrow(chunked, f"{_CHUNK}, {_LISTS}"), "chunks")
     # Chunks in the order of their numbers, from 0, so that neighbours meet in a node.
     per_task = chunks.groupBy(F.shiftright("chunk", 32).alias("task")).agg(F.count("*").alias("k"))
     before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
@@ -442,7 +444,7 @@ def align(
     of_nodes, by = _by_nodes(lists, tables, count)
     answers = of_nodes.cogroup(by).applyInArrow(answered, "chunk long, keys binary, counts binary, best binary")
 
-    def measured(key, table: pa.Table, replies: pa.Table) -> pa.Table:
+    def measured(table: pa.Table, replies: pa.Table) -> pa.Table:
         known = vocabularies(paths)
         (row,) = table.to_pylist()
         a, n_a, b, n_b, flat, sizes = (_unpacked(row[name]) for name in ("a", "n_a", "b", "n_b", "units", "sizes"))
@@ -480,7 +482,7 @@ def align(
     whole = chunks.drop("lists")
     schema = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
     aligned = whole.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-        measured, schema + (", groups string" if with_groups else "")
+        lambda table, replies: giving_back(measured, table, replies), schema + (", groups string" if with_groups else "")
     )
     return aligned, tables
 

@@ -5,12 +5,13 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from helpers_llm import prose
 from pyspark.sql import functions as F
 
 from sessionloom.llm import alignment, counting, jaccard_join, quality, words
 from sessionloom.llm.shipping import give_back, ship_package
-from sessionloom.workspace import materialize
+from sessionloom.workspace import materialize, removing_tables
 
 
 def held_by(make):
@@ -110,3 +111,43 @@ def test_waiting_workers_hold_no_freed_memory(spark, monkeypatch):
     assert worst() < 20
     quality.with_measures(rows.coalesce(1), ["row"]).write.format("noop").mode("overwrite").save()
     assert worst() < 20
+
+
+def test_each_chunk_of_the_alignment_is_a_row_group(spark, monkeypatch):
+    monkeypatch.setattr(alignment, "CHUNK_CHARS", 2000)
+    docs = spark.createDataFrame([(k, prose(k % 5, 100)) for k in range(40)], "doc_id long, text string").coalesce(2)
+    with removing_tables(spark) as made:
+        alignment.align(docs)
+        (path,) = [p for p in made if "/chunks-" in p]
+        files = [pq.ParquetFile(f).metadata for f in Path(path).glob("*.parquet")]
+    assert sum(f.num_rows for f in files) > 2 * len(files)
+    assert {f.row_group(k).num_rows for f in files for k in range(f.num_row_groups)} == {1}
+
+
+def test_workers_hold_no_freed_memory_after_chunks_and_after_the_alignment(spark, monkeypatch):
+    ship_package(spark)
+    monkeypatch.setitem(spark.sparkContext.environment, "SESSIONLOOM_TEST", "aligned")
+
+    def held(batches):
+        def mb():
+            return int(Path("/proc/self/statm").read_text().split()[1]) * 4096 >> 20
+
+        for _ in batches:
+            before = mb()
+            give_back()
+            yield pa.RecordBatch.from_pydict({"mb": [before - mb()]})
+
+    seen = []
+
+    def kept(frame, label):
+        if label == "places":  # the chunks have just been written
+            seen.append(max(r.mb for r in spark.range(8, numPartitions=4).mapInArrow(held, "mb long").collect()))
+        return materialize(frame, label)
+
+    monkeypatch.setattr(alignment, "materialize", kept)
+    text = F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(900)), lambda k: F.xxhash64(F.col("id"), k).cast("string")))
+    docs = spark.range(250).select(F.col("id").alias("doc_id"), text.alias("text")).coalesce(1)
+    aligned, _ = alignment.align(docs, with_groups=False)
+    aligned.write.format("noop").mode("overwrite").save()
+    seen.append(max(r.mb for r in spark.range(8, numPartitions=4).mapInArrow(held, "mb long").collect()))
+    assert max(seen) < 20
